@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, tokenfile
+from . import bpe, decontam, pii, simhash, tokenfile, urls
 from .common import table
 
 
@@ -12,10 +12,26 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op6_byte_bpe)}
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
+def op8_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op10_simhash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_files, op5_benchmark_containment, op6_byte_bpe, op7_personal_data, op8_url_templates, op10_simhash_trees)}
 
 SQL: dict[str, str] = {}

@@ -23,6 +23,8 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from .chunks import ChunkEncoder
 from .common import new_folder, slices, texts, tokenizer_file
@@ -184,11 +186,13 @@ def write_tokens(docs: DataFrame, folder: str | None = None, path: str | None =
 def read_tokens(folder: str, manifest: DataFrame, schema: str = "doc_id long, start long, ids array<int>", row=None) -> DataFrame:
     """One row a document from the files: doc_id, start (tokens before it in all files) and its ids, or what `row` makes of those."""
     row = row or (lambda doc, start, ids: (doc, start, ids.astype(np.int32).tolist()))
-    names = [x.strip().split(" ")[0] for x in schema.split(",")]
-    scheme = folder
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), kinds, strict=True)], schema=kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, _ = pafs.FileSystem.from_uri(scheme)
+        fs, _ = pafs.FileSystem.from_uri(folder)
         for batch in batches:
             for file, start in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True):
                 with fs.open_input_file(file) as f:
@@ -196,10 +200,10 @@ def read_tokens(folder: str, manifest: DataFrame, schema: str = "doc_id long, st
                     for doc, before, ids in TokenFileReader(f).rows():
                         out.append(row(doc, start + before, ids))
                         if len(out) >= 500:
-                            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names)
+                            yield made(out)
                             out = []
                     if out:
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names)
+                        yield made(out)
 
     many = max(1, min(manifest.count(), 4 * manifest.sparkSession.sparkContext.defaultParallelism))
     return manifest.select("file", "start").repartition(many, F.xxhash64("file")).mapInArrow(run, schema)
