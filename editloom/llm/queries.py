@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, pii, simhash, tokenfile, urls
+from . import bpe, decontam, lm, mil, pii, rules, simhash, tokenfile, urls
 from .common import table
 
 
+def op1_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.digests(table(spark, sf_dir, "documents"))
 
 
+def op4_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op5_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -28,10 +36,15 @@ def op8_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op9_passage_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mil.classify(docs, mil.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_simhash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op5_benchmark_containment, op6_byte_bpe, op7_personal_data, op8_url_templates, op10_simhash_trees)}
+QUERIES = {f.__name__: f for f in (op1_attention_scores, op2_token_files, op4_adaptive_rules, op5_benchmark_containment, op6_byte_bpe, op7_personal_data, op8_url_templates, op9_passage_classifier, op10_simhash_trees)}
 
 SQL: dict[str, str] = {}

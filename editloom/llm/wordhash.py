@@ -25,10 +25,12 @@ def powers(n: int) -> list[np.ndarray]:
 
 
 class Words:
-    """Lower-cased (A-Z) words `[^\\x20\\x09-\\x0D]+` of a list of UTF-8 texts, in order."""
+    """Words `[^\\x20\\x09-\\x0D]+`, lower-cased (A-Z) or as they are, of a list of UTF-8 texts, in order."""
 
-    def __init__(self, texts: list[bytes]):
-        self.data = b" ".join([b"", *texts, b""]).lower()
+    def __init__(self, texts: list[bytes], lower: bool = True):
+        self.data = b" ".join([b"", *texts, b""])
+        if lower:
+            self.data = self.data.lower()
         a = np.frombuffer(self.data, np.uint8)
         space = SPACE[a]
         turn = np.flatnonzero(space[1:] != space[:-1]) + 1
