@@ -106,3 +106,13 @@ def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def keep_rows(docs: DataFrame, decide: Callable[[list[bytes]], list[bool]]) -> DataFrame:
+    """The rows, with all their columns, whose text (null: empty) is to be kept; `decide` sees a block of texts at a time."""
+
+    def block(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        mask = decide([x or b"" for x in raw(batch.column(batch.schema.get_field_index("text")))])
+        yield batch.filter(pa.array(mask, pa.bool_()))
+
+    return map_arrow(docs, block, docs.schema)
