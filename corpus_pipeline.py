@@ -1,8 +1,33 @@
-"""Five stages from raw documents to documents that a tokenizer has proved to round-trip."""
+"""From raw documents to token ids: good quality, no near copies, no benchmark items, no personal data, encoded.
 
-STAGES: list = []
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
+one's docs. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from editloom.llm import stages
+from editloom.llm.common import forget, materialise, table
+
+STAGES = [
+    ("quality classifier", stages.good_quality),
+    ("SimHash near-dedup", stages.without_near_copies),
+    ("benchmark decontamination", stages.without_benchmark),
+    ("PII", stages.without_personal_data),
+    ("byte-level BPE", stages.encoded),
+]
+
+#: A learned score, connected components and a tokenizer are beyond SQL; tests hold the rows against plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, last = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        made = materialise(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
+        if last is not None:
+            forget(last)
+        docs = last = made
+    return docs
