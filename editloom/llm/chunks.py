@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable
+from itertools import islice
 
 DOUBLE = re.compile(r"\s\s")
 INNER = re.compile(r"(?<=\S) (?=\S)")
@@ -29,41 +30,31 @@ class ChunkEncoder:
         self.first: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
 
-    def _learn(self, kept: dict[str, bytes], seen: set[str], space: str) -> dict[str, bytes]:
-        """A table that has every chunk seen: the kept one while there is room, else a copy of what this block needs."""
+    def _learn(self, kept: dict[str, bytes], seen: set[str], space: str) -> list[str]:
+        """Put every chunk seen into the table; returns those for which there was no room, to be taken out again."""
         fresh = [x for x in seen if x not in kept]
-        new = dict(zip(fresh, self.encode([space + x for x in fresh]), strict=True)) if fresh else {}
+        if not fresh:
+            return []
         room = self.most - len(kept)
-        for x, ids in new.items():
-            if room <= 0:
-                break
-            if len(x) <= self.longest:
-                kept[x] = ids
-                room -= 1
-        missing = {x: ids for x, ids in new.items() if x not in kept}
-        return Layered(kept, missing) if missing else kept
+        kept.update(zip(fresh, self.encode([space + x for x in fresh]), strict=True))
+        if room >= len(fresh):
+            return [x for x in fresh if len(x) > self.longest]
+        stay = set(islice((x for x in fresh if len(x) <= self.longest), max(0, room)))
+        return [x for x in fresh if x not in stay]
 
     def block(self, texts: list[str]) -> list[bytes]:
         chunks = [cut(x) for x in texts]
         heads, rest = {c[0] for c in chunks}, set()
         for c in chunks:
             rest.update(c)
-        first, inner = self._learn(self.first, heads, ""), self._learn(self.inner, rest, " ")
-        get = inner.__getitem__
+        out_first, out_inner = self._learn(self.first, heads, ""), self._learn(self.inner, rest, " ")
+        get = self.inner.__getitem__
         out = []
         for c in chunks:
-            ids = [first[c[0]]]
+            ids = [self.first[c[0]]]
             ids.extend(map(get, c[1:]))
             out.append(b"".join(ids))
+        for kept, gone in ((self.first, out_first), (self.inner, out_inner)):
+            for x in gone:
+                del kept[x]
         return out
-
-
-class Layered(dict):
-    """`extra`, and behind it what is kept."""
-
-    def __init__(self, kept: dict[str, bytes], extra: dict[str, bytes]):
-        super().__init__(extra)
-        self.kept = kept
-
-    def __missing__(self, key: str) -> bytes:
-        return self.kept[key]
