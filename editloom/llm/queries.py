@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, lm, mil, pii, rules, simhash, tokenfile, urls
+from . import bpe, decontam, lm, mil, pii, rules, simhash, suffix, tokenfile, urls
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.digests(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,6 @@ def op10_simhash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_attention_scores, op2_token_files, op4_adaptive_rules, op5_benchmark_containment, op6_byte_bpe, op7_personal_data, op8_url_templates, op9_passage_classifier, op10_simhash_trees)}
+QUERIES = {f.__name__: f for f in (op1_attention_scores, op2_token_files, op3_suffix_repeats, op4_adaptive_rules, op5_benchmark_containment, op6_byte_bpe, op7_personal_data, op8_url_templates, op9_passage_classifier, op10_simhash_trees)}
 
 SQL: dict[str, str] = {}
