@@ -46,7 +46,7 @@ def slice_between(c: Column, starts, ends=()) -> Column:
     if not ends:
         return strip(F.substring(c, behind, F.length(c)))
     until = F.least(*(F.when(F.instr(c, m) > 0, F.instr(c, m)) for m in ends), F.lit(None).cast("int"))
-    return strip(F.substring(c, behind, F.greatest(until - behind, F.lit(0))))
+    return F.when(until.isNotNull(), strip(F.substring(c, behind, F.greatest(until - behind, F.lit(0)))))
 
 
 def slice_open(c: Column, starts, ends) -> Column:

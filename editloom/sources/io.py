@@ -17,8 +17,8 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: str, strict:
     """JSON lines; blank lines are no rows. Lines that are no JSON are dropped, or stop the job if strict."""
     if strict:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    rows = spark.read.schema(f"{schema}, {BAD} string").option("columnNameOfCorruptRecord", BAD).json(path)
-    return rows.filter(F.col(BAD).isNull()).drop(BAD)
+    made = F.from_json("value", f"{schema}, {BAD} string", {"columnNameOfCorruptRecord": BAD})
+    return read_lines(spark, path).select(made.alias("r")).filter(F.col(f"r.{BAD}").isNull()).select("r.*").drop(BAD)
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -52,7 +52,7 @@ def escape(line: Column) -> Column:
     r"""Everything beyond ASCII as \uXXXX, in pairs beyond 16 bits."""
 
     def one(c: Column) -> Column:
-        code = F.conv(F.hex(F.encode(c, "UTF-32BE")), 16, 10).cast("int")
+        code = F.ascii(c)
         hexed = lambda n: F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(n)), 4, "0"))
         over = code - 0x10000
         return F.when(code < 128, c).when(code < 0x10000, hexed(code)).otherwise(F.concat(hexed(F.shiftright(over, 10) + 0xD800), hexed(over.bitwiseAND(0x3FF) + 0xDC00)))
@@ -75,7 +75,8 @@ def split_rejects(rows: DataFrame, valid: Column, reject_path: str | None = None
 
 
 def read_results(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """Result files, plain or gzipped, anywhere below `path`, each one JSON document; files that cannot be read are no rows.
+    """Result files, plain or gzipped, anywhere below `path`, each one JSON document; files that cannot be read, or have no
+    results, are no rows.
 
     With the directory a file is in and that directory's parent.
     """
@@ -86,7 +87,7 @@ def read_results(spark: SparkSession, path: str | list[str], schema: str) -> Dat
     )
     parts = F.split(F.regexp_replace(F.col("_metadata.file_path"), "/+", "/"), "/")
     rows = rows.select("*", F.element_at(parts, -2).alias("name"), F.coalesce(F.try_element_at(parts, F.lit(-3)), F.lit("")).alias("directory"), F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder"))
-    return rows.filter(F.col(BAD).isNull()).drop(BAD)
+    return rows.filter(F.col(BAD).isNull() & F.col("results").isNotNull()).drop(BAD)
 
 
 def leaf_folders(rows: DataFrame) -> DataFrame:
