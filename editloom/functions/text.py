@@ -57,23 +57,34 @@ def slice_open(c: Column, starts, ends) -> Column:
     return strip(F.coalesce(F.substring(rest, F.lit(1), until - 1), rest))
 
 
-def fenced_code(c: Column, keep_mark: bool = False) -> Column:
-    """Code of the first fenced block that is not tagged markdown, else of the first block; null if there is none or it is empty.
-
-    Code that begins with ``python`` loses its first line. With `keep_mark` a comment line names the language.
-    """
-    blocks = F.zip_with(F.regexp_extract_all(c, F.lit(FENCE), F.lit(1)), F.regexp_extract_all(c, F.lit(FENCE), F.lit(2)), lambda t, b: F.struct(t.alias("tag"), b.alias("code")))
-    plain = F.filter(blocks, lambda b: F.lower(b["tag"]) != "markdown")
-    one = F.when(F.size(plain) > 0, F.get(plain, F.lit(0))).otherwise(F.get(blocks, F.lit(0)))
-    code = F.nullif(strip(one["code"]), F.lit(""))
+def fenced_blocks(c: Column) -> Column:
+    """The first fenced block (tag, code) that is not tagged markdown, else the first block; null if there is none."""
+    blocks = F.arrays_zip(F.regexp_extract_all(c, F.lit(FENCE), F.lit(1)).alias("tag"), F.regexp_extract_all(c, F.lit(FENCE), F.lit(2)).alias("code"))
+    # the fallback stands behind the blocks that come before it
+    return F.get(F.concat(F.filter(blocks, lambda b: F.lower(b["tag"]) != "markdown"), F.slice(blocks, 1, 1)), F.lit(0))
+
+
+def stripped_code(block: Column) -> Column:
+    return F.nullif(strip(block["code"]), F.lit(""))
+
+
+def unmarked_code(code: Column, tag: Column | None = None) -> Column:
+    """Code that begins with ``python`` loses its first line. With a tag a comment line names the language."""
     led = code.startswith("python")
-    body = F.when(led, F.when(F.instr(code, "\n") > 0, F.substring(code, F.instr(code, "\n") + 1, F.length(code))).otherwise("")).otherwise(code)
-    if not keep_mark:
+    body = F.when(led, F.regexp_replace(code, r"(?s)\A[^\n]*(?:\n|\z)", "")).otherwise(code)
+    if tag is None:
         return body
-    tag = F.when(led, "python").otherwise(one["tag"])
+    tag = F.when(led, "python").otherwise(tag)
     return F.when(tag != "", F.concat(F.lit("## "), tag, F.lit("\n"), body)).otherwise(body)
 
 
+def fenced_code(c: Column, keep_mark: bool = False) -> Column:
+    """Code of the chosen fenced block; null if there is none or it is empty. Over tables, operators.extract.purify_code
+    computes each step once."""
+    block = fenced_blocks(c)
+    return unmarked_code(stripped_code(block), block["tag"] if keep_mark else None)
+
+
 def is_single_line(c: Column) -> Column:
     """A field that is no code: one line, a box-drawing bar, or a shell prompt. A missing field is not judged."""
     return F.coalesce(~c.contains("\n") | c.contains("─") | strip(c).startswith("$"), F.lit(False))

@@ -40,7 +40,12 @@ def drop_single_line(rows: DataFrame, fields=CODE) -> DataFrame:
 
 
 def purify_code(rows: DataFrame, fields=CODE, keep_mark: bool = False) -> DataFrame:
-    return rows.withColumns({f"{f}_purify": T.fenced_code(F.col(f), keep_mark) for f in fields})
+    """Adds <field>_purify. Each step is a projection of its own: what later steps use more than once is computed once, and
+    generated code stays small."""
+    rows = rows.withColumns({f"{f}_block_": T.fenced_blocks(F.col(f)) for f in fields})
+    rows = rows.withColumns({f"{f}_code_": T.stripped_code(F.col(f"{f}_block_")) for f in fields})
+    rows = rows.withColumns({f"{f}_purify": T.unmarked_code(F.col(f"{f}_code_"), F.col(f"{f}_block_")["tag"] if keep_mark else None) for f in fields})
+    return rows.drop(*(f"{f}{x}" for f in fields for x in ("_block_", "_code_")))
 
 
 def purify_instructions(rows: DataFrame, fields=WORDS) -> DataFrame:
