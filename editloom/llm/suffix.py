@@ -3,8 +3,9 @@
 Which strings meet. Every window of MIN_BYTES bytes has an anchor, its least-hashed run of GRAM bytes (leftmost among
 equals). Equal windows have equal anchors at equal places, so a window can only repeat where its anchor does. Consecutive
 windows with one anchor form a run; its bytes are a segment. Runs whose anchor occurs once leave at once. The others
-collapse to classes of equal segments, and one segment a class goes to the shard of its anchor, twice if the class has
-more than one member. That only brings together what can be equal; what is equal is decided in the shard:
+collapse to classes of equal segments with their multiplicity. One segment a class goes to the shard of its anchor, unless
+no class of the anchor is single: a row of a transform that stands for several equal suffixes repeats as it is. That only
+brings together what can be equal; what else is equal is decided in the shard:
 
 Segments are concatenated with separators that differ from each other and from all bytes, suffixes are sorted to MIN_BYTES
 symbols by prefix doubling, and common prefixes come from the transform alone: intervals of suffixes that start with the
@@ -32,7 +33,7 @@ from .common import materialise, raw, slices, texts
 from .wordhash import powers
 
 MIN_BYTES, GRAM = 200, 24
-SHARD_BYTES = 700_000
+SHARD_BYTES = 1_000_000
 BIG_ANCHOR = 200_000  # bytes of segments of one anchor beyond which they are cut by further anchors
 LOW = np.uint64((1 << 20) - 1)
 WINDOW_BLOCK = 1 << 19
@@ -301,32 +302,27 @@ def segments(packed: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFrame:
 
 
 def solve(pieces: DataFrame, shards: int, min_bytes: int) -> DataFrame:
-    """anchor, digest, at, many, bits: for each piece which of its `many` windows repeat, packed, null for all; none: no row."""
+    """anchor, digest, at, many, bits: for each piece of a single class which of its `many` windows repeat, packed, null for
+    all; none: no row."""
 
     def shard(rows: list[tuple]) -> list[tuple]:
         """rows: (anchor, digest, at, twice, bytes)."""
         by: dict[bytes, list[tuple]] = {}
         for anchor, digest, at, twice, piece in rows:
             by.setdefault(piece, []).append((anchor, digest, at, twice))
-        own, concat = list(by), []
-        for piece in own:
-            # a piece is in the text twice if it occurs twice: as itself in two classes, or in a class of more members
-            concat.append(piece)
-            if len({m[:3] for m in by[piece]}) > 1 or any(m[3] for m in by[piece]):
-                concat.append(piece)
-        places = repeated_starts(concat, min_bytes)
-        hit = np.zeros(sum(map(len, concat)) + len(concat) + 1, bool)
-        hit[places] = True
-        out, at, k = [], 0, 0
+        own = list(by)
+        hit = np.zeros(sum(map(len, own)) + len(own) + 1, bool)
+        hit[repeated_starts(own, min_bytes)] = True
+        out, at = [], 0
         for piece in own:
             windows = len(piece) - min_bytes + 1
-            flags = hit[at : at + windows]
-            if flags.any():
+            members = {m[:3] for m in by[piece] if not m[3]}
+            # a piece of several members stands in the text once and repeats whole
+            flags = hit[at : at + windows] if len({m[:3] for m in by[piece]}) == 1 else np.ones(windows, bool)
+            if members and flags.any():
                 bits = None if flags.all() else np.packbits(flags).tobytes()
-                out += [(a, d, x, windows, bits) for a, d, x in {m[:3] for m in by[piece]}]
-            copies = 2 if k + 1 < len(concat) and concat[k + 1] is piece else 1
-            at += copies * (len(piece) + 1)
-            k += copies
+                out += [(a, d, x, windows, bits) for a, d, x in members]
+            at += len(piece) + 1
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,12 +372,14 @@ def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, with_text: bool
         (F.sum(1 + F.coalesce(F.length("more") / 4, F.lit(0)).cast("long")) > 1).alias("twice"), F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "tkey", "start", "windows")).alias("one")
     )
     classes = materialise(classes.select("anchor", "digest", "twice", F.col("one.doc_id").alias("doc_id"), F.col("one.tkey").alias("tkey"), F.col("one.start").alias("start"), F.col("one.windows").alias("windows")), "classes")
-    weight = F.sum((F.col("windows") + min_bytes).cast("long") * F.when(F.col("twice"), 2).otherwise(1))
-    big = classes.groupBy("anchor").agg(weight.alias("bytes")).filter(F.col("bytes") > BIG_ANCHOR).select("anchor", F.lit(True).alias("big"))
-    total = classes.agg(weight).first()[0] or 0
-    wanted = classes.join(big, "anchor", "left").withColumn("big", F.coalesce("big", F.lit(False)))
+    open_ = classes.join(classes.filter(~F.col("twice")).select("anchor").distinct(), "anchor", "left_semi")
+    weight = F.sum((F.col("windows") + min_bytes).cast("long"))
+    big = open_.groupBy("anchor").agg(weight.alias("bytes")).filter(F.col("bytes") > BIG_ANCHOR).select("anchor", F.lit(True).alias("big"))
+    total = open_.agg(weight).first()[0] or 0
+    wanted = open_.join(big, "anchor", "left").withColumn("big", F.coalesce("big", F.lit(False)))
     packed = pack(rows)
-    bits = materialise(solve(segments(packed, wanted, min_bytes), max(1, -(-int(total) // (4 * SHARD_BYTES))), min_bytes), "bits")
+    whole = classes.filter("twice").select("anchor", "digest", F.lit(0).alias("at"), F.col("windows").alias("many"), F.lit(None).cast("binary").alias("bits"))
+    bits = materialise(solve(segments(packed, wanted, min_bytes), max(1, -(-int(total) // (4 * SHARD_BYTES))), min_bytes).unionByName(whole), "bits")
     marks = occ.join(bits, ["anchor", "digest"]).select("doc_id", "tkey", F.struct("start", "more", "at", "many", "bits").alias("mark"))
     marks = marks.groupBy("doc_id", "tkey").agg(F.collect_list("mark").alias("marks"))
 
