@@ -119,12 +119,16 @@ def question_answer(m: Column) -> Column:
     return F.when(F.get(rest, F.size(rest) - 1)["role"] == "user", F.concat(text, F.lit("\n\nAnswer:"))).otherwise(text)
 
 
+BEGIN, CLOSE = "<|im_start|>", "<|im_end|>"
+
+
 def im_blocks(m: Column, think: str = "") -> Column:
     """think: `/think` or `/no_think` behind user turns, or nothing."""
     system, rest = _parts(m)
-    tag = f" {think}" if think else ""
-    user = lambda t: F.concat(F.lit("<|im_start|>system\n"), system, F.lit("<|im_end|>\n\n<|im_start|>user\n"), t["content"], F.lit(f"{tag}<|im_end|>\n\n<|im_start|>assistant"))
-    return F.array_join(F.transform(rest, lambda t: F.when(t["role"] == "user", user(t)).otherwise(F.concat(t["content"], F.lit("<|im_end|>")))), "")
+    end = F.lit(CLOSE)
+    lead = F.concat(F.lit(BEGIN + "system\n"), system, end, F.lit(f"\n\n{BEGIN}user\n"))
+    tail = F.lit((f" {think}" if think else "") + CLOSE + "\n" * 2 + BEGIN + "assistant")
+    return F.array_join(F.transform(rest, lambda t: F.when(t["role"] == "user", F.concat(lead, t["content"], tail)).otherwise(F.concat(t["content"], end))), "")
 
 
 def user_assistant(m: Column) -> Column:

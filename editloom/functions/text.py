@@ -14,7 +14,7 @@ DECORATION = "-`*#\n "
 FENCE = r"(?U)```([^\s`]*)\s*\n([\s\S]*?)```"
 #: section -> spellings of its mark
 SECTIONS = {name: (f"### [{name}]", f"[{name}]", f"### {name}") for name in ("Program Before Edit", "Descriptive", "Lazy", "Program After Edit")}
-LAZY_ENDS = ("###", "---", "[Program Before Edit]", "```")
+LAZY_ENDS = ("```", "#" * 3, "-" * 3, SECTIONS["Program Before Edit"][1])
 
 
 def strip(c: Column) -> Column:
@@ -124,5 +124,5 @@ def edit_parts(c: Column) -> tuple[Column, Column]:
     """Code and instruction of an edit prompt, without the code's fence; empty where a part is missing."""
     code = strip(F.regexp_extract(c, r"(?s)## Code Before:(.*?)## Instruction:", 1))
     words = strip(F.regexp_extract(c, r"(?s)## Instruction:(.*?)## Code After:", 1))
-    bare = F.regexp_replace(F.regexp_replace(code, r"^```[a-zA-Z]*\n?", ""), r"\n?```$", "")
+    bare = F.regexp_replace(code, r"\A`{3}[A-Za-z]*\n?|\n?`{3}\z", "")
     return F.when(code.startswith("```") & code.endswith("```"), bare).otherwise(code), words

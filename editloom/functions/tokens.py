@@ -8,10 +8,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CODE_STOP_WORDS = frozenset(
-    "and as assert break class continue def elif else except False finally for from global if import in is lambda None nonlocal not or pass print return self True try while with yield".split()
-    + "= == != === !== > < >= <= + - * / % ** // & | ^ ~ << >> += -= *= /= %= **= //= &= |= ^= ~= <<= >>= ( ) [ ] { } , . : ;".split()
-)
+#: only identifiers are kept, so operators need no entry
+CODE_STOP_WORDS = frozenset("and as assert break class continue def elif else except False finally for from global if import in is lambda None nonlocal not or pass print return self True try while with yield".split())
 #: a short list of our own; pass another as a parameter where a certain list is wanted
 ENGLISH_STOP_WORDS = frozenset(
     "a about after all also an and any are as at be because been before but by can could did do does for from had has have he her here him his how i if in into is it its just me more most my no nor not now of on once only or other our out over own same she should so some such than that the their them then there these they this those through to too under until up very was we were what when where which while who whom why will with would you your".split()

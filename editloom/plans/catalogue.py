@@ -477,7 +477,7 @@ def split_identifier(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", F.array_join(text.split_identifier(F.concat("p_name", F.lit("_fooBar"), "p_type")), " ").alias("words"))
 
 
-SQL["split_identifier"] = r"SELECT p_partkey, array_to_string(list_filter(string_split_regex(regexp_replace(p_name || '_fooBar' || p_type, '([a-z])([A-Z])', '\1 \2', 'g'), '[\s_]+'), lambda x: x <> ''), ' ') AS words FROM part"
+SQL["split_identifier"] = r"SELECT p_partkey, array_to_string(list_filter(string_split_regex(regexp_replace(p_name || '_fooBar' || p_type, '([[:lower:]])([[:upper:]])', '\1 \2', 'g'), '[\s_]+'), lambda x: x <> ''), ' ') AS words FROM part"
 
 # training rows and chats
 

@@ -33,7 +33,7 @@ def plain_code(x, keep=False):
     if not code:
         return None
     if code.startswith("python"):
-        code, tag = "\n".join(code.split("\n")[1:]), "python"
+        code, tag = code.partition("\n")[2], "python"
     return f"## {tag}\n{code}" if keep and tag else code
 
 
