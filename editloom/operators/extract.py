@@ -21,15 +21,16 @@ def sections(rows: DataFrame) -> DataFrame:
     code before have content. Other columns stay."""
     before, desc, lazy, after = T.SECTIONS.values()
     one, two = F.coalesce("response_1", F.lit("")), F.coalesce("response_2", F.lit(""))
-    cut = rows.filter(has_sections(one, two)).withColumns(
-        {
-            "code_before": T.slice_between(one, before, desc),
-            "code_after": T.slice_between(two, after),
-            "instruct_descriptive": T.slice_between(one, desc, lazy),
-            "instruct_lazy": T.slice_open(one, lazy, T.LAZY_ENDS),
-        }
-    )
-    return cut.filter("code_after <> '' and instruct_descriptive <> '' and instruct_lazy <> ''").drop("response_1", "response_2")
+    parts = {
+        "code_before": T.slice_between(one, before, desc),
+        "code_after": T.slice_between(two, after),
+        "instruct_descriptive": T.slice_between(one, desc, lazy),
+        "instruct_lazy": T.slice_open(one, lazy, T.LAZY_ENDS),
+    }
+    # predicates do not move below a generator: the slices are computed once, not again in the filter
+    cut = rows.filter(has_sections(one, two)).withColumn("cut_", F.explode(F.array(F.struct(*(c.alias(n) for n, c in parts.items())))))
+    kept = cut.filter("cut_.code_after <> '' and cut_.instruct_descriptive <> '' and cut_.instruct_lazy <> ''")
+    return kept.withColumns({n: F.col(f"cut_.{n}") for n in parts}).drop("response_1", "response_2", "cut_")
 
 
 def drop_single_line(rows: DataFrame, fields=CODE) -> DataFrame:
