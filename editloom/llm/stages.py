@@ -33,7 +33,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     found = materialise(simhash.similar(docs, similarity=SIMILARITY), "groups")
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
     twice = materialise(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "twice")
-    left = docs.join(gone, "doc_id", "left_anti")
+    # one plan at every size: the ids to drop grow with the documents and are never broadcast
+    left = docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti")
     if twice.limit(1).count():
         left = left.join(twice, "doc_id", "left_anti").unionByName(left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     return left.select(*docs.columns)
