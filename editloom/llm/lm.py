@@ -22,11 +22,13 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,12 +44,14 @@ SPAN = STRIDE + CONTEXT
 DIM, FACTORS, ORDER = 8, 8, 3
 BITS = 11  # of an id in a key
 KEPT = {3: 300_000, 4: 600_000}  # commonest runs of so many subwords whose counts are kept; the rest back off
-BACK_OFF = 10.0
-SAMPLE_WORDS = 32  # of each training document, from a place given by its hash
+BEGIN_WEIGHT = 100.0  # of first subwords as such against what follows a certain last subword
+BACK_OFF = 2.0  # times the kinds of successors of a history: the weight of the shorter history
+SAMPLE_BYTES = 300  # of each training document, from a place given by its hash, less the words cut at the ends
+TRAIN_WINDOWS = 2  # of each sample
 ROUNDS, RATE = 2, 0.02
-HOT_WORDS = 300_000  # words whose counts go to every task; all others are joined
+HOT_WORDS = 500_000  # words whose counts go to every task; all others are joined
 END_WORD = b" "  # no word holds a space
-FLUSH = 400_000
+FLUSH = 1_000_000
 
 
 def held_out() -> Column:
@@ -65,67 +69,60 @@ def subwords(path: str):
     return tiktoken.Encoding("subwords", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
 
 
-def encode_words(path: str, words: list[bytes]) -> list[bytes]:
+def word_ids(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(how many ids each word has, the ids of all)."""
     enc = subwords(path).encode_ordinary
-    return [np.array(enc(" " + w.decode()), np.uint16).tobytes() for w in words]
+    ids = [enc(" " + w.decode()) for w in words]
+    return np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(chain.from_iterable(ids), np.uint16)
 
 
 class WordTable:
-    """Number, subword ids and training count (or -1: not known here) of words. Hot words stay, others for a block or while there is room."""
-
-    def __init__(self, path: str, hot: list[bytes], counts: np.ndarray, room: int = 300_000):
-        self.path, self.room, self.hot = path, len(hot) + room, len(hot)
-        self.number: dict[bytes, int] = {}
-        self.ids: list[bytes] = []
-        self.known = counts.astype(np.float64)
-        self._add(hot)
-        self.arrays = None
-
-    def _add(self, words: list[bytes]) -> None:
-        self.ids += encode_words(self.path, words)
-        n = len(self.number)
-        self.number.update(zip(words, range(n, n + len(words)), strict=True))
-        self.arrays = None
-
-    def block(self, docs: list[list[bytes]]) -> list[np.ndarray]:
-        """The numbers of each document's words."""
-        fresh = set().union(*docs) - self.number.keys()
+    """Numbers and ids of words: those of hot words for good, those of others for a block of documents."""
+
+    def __init__(self, path: str, hot: list[bytes]):
+        self.path, self.hot = path, len(hot)
+        self.number = dict(zip(hot, range(len(hot)), strict=True))
+        self.size, self.flat = word_ids(path, hot)
+
+    def block(self, docs: list[list[bytes]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """For each document the numbers of its words (from `hot` on: not a hot word) and its ids with END."""
+        number = self.number
+        fresh = sorted(set().union(*docs) - number.keys())
+        size, flat = self.size, self.flat
         if fresh:
-            if len(self.number) + len(fresh) > self.room and len(self.number) > self.hot:
-                for w in list(self.number)[self.hot :]:
-                    del self.number[w]
-                del self.ids[self.hot :]
-                fresh = set().union(*docs) - self.number.keys()
-            self._add(sorted(fresh))
-        if self.arrays is None:
-            size = np.fromiter(map(len, self.ids), np.int64, len(self.ids)) // 2
-            self.arrays = np.cumsum(size) - size, size, np.frombuffer(b"".join(self.ids), np.uint16)
-        get = self.number.__getitem__
-        return [np.fromiter(map(get, d), np.int64, len(d)) for d in docs]
-
-    def sequence(self, numbers: np.ndarray) -> np.ndarray:
-        start, size, flat = self.arrays
-        n = size[numbers]
-        ends = np.cumsum(n)
-        out = np.empty((int(ends[-1]) if len(n) else 0) + 1, np.int32)
-        out[:-1] = flat[np.arange(len(out) - 1) + np.repeat(start[numbers] - (ends - n), n)]
-        out[-1] = END
-        return out
+            number.update(zip(fresh, range(self.hot, self.hot + len(fresh)), strict=True))
+            more = word_ids(self.path, fresh)
+            size, flat = np.concatenate([size, more[0]]), np.concatenate([flat, more[1]])
+        start = np.cumsum(size) - size
+        numbers = [np.fromiter(map(number.__getitem__, d), np.int64, len(d)) for d in docs]
+        for w in fresh:
+            del number[w]
+        out = []
+        for x in numbers:
+            n = size[x]
+            ends = np.cumsum(n)
+            ids = np.empty((int(ends[-1]) if len(n) else 0) + 1, np.int32)
+            ids[:-1] = flat[np.arange(len(ids) - 1) + np.repeat(start[x] - (ends - n), n)]
+            ids[-1] = END
+            out.append(ids)
+        return numbers, out
 
 
 # the model
 
 
-def backed_off(count: np.ndarray, total: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-    return (count + BACK_OFF * shorter) / (total + BACK_OFF)
+def backed_off(count: np.ndarray, total: np.ndarray, kinds: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+    """Witten and Bell's smoothing: a history with many kinds of successors trusts the shorter one more."""
+    weight = BACK_OFF * kinds
+    return (count + weight * shorter) / (total + weight)
 
 
 @dataclass
 class Attention:
     """q, k: (SIZE + 1) x DIM, b: SIZE + 1, pos: SPAN are learned.
 
-    after: SIZE x (SIZE + 1), successors within the word or its end; runs, contexts: counts by keys of 3 and 4 ids, and of
-    their contexts; begins: SIZE x SIZE, first subwords of the next word after the last of this one; mixtures
+    after: SIZE x (SIZE + 1), successors within the word or its end; runs: counts by keys of 3 and 4 ids; contexts: number
+    (from 1) by keys without the last id, of rows (total, kinds of successors) in spread; begins: SIZE x SIZE, first subwords of the next word after the last of this one; mixtures
     (SIZE + 1) x FACTORS and factors FACTORS x SIZE; starts: whether an id begins a word or is the end.
     """
 
@@ -136,6 +133,7 @@ class Attention:
     after: np.ndarray
     runs: dict[int, HashTable]
     contexts: dict[int, HashTable]
+    spread: dict[int, np.ndarray]
     begins: np.ndarray
     mixtures: np.ndarray
     factors: np.ndarray
@@ -160,39 +158,41 @@ class Attention:
 
     def histories(self, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
         """Probability of y, or of the word's end where y begins a word, after the last 1, 2 and 3 subwords."""
-        now, one, two = (np.minimum(x[:, CONTEXT - d : SPAN - d], END).astype(np.uint64) for d in range(3))
-        mark = np.where(self.starts[y], EOW, y).astype(np.uint64)
+        now, one, two = (np.minimum(x[:, CONTEXT - d : SPAN - d], END).ravel() for d in range(3))
+        mark = np.where(self.starts[y], EOW, y).ravel()
         short = self.after[now, mark]
-        out = [short]
-        context = now
-        for n, more in ((3, one), (4, two)):
-            context = context | (more << np.uint64(BITS * (n - 2)))
-            flat = context.ravel()
-            key = (flat << np.uint64(BITS)) | mark.ravel()
-            total = self.contexts[n].find(flat)
-            count = np.zeros(len(flat), np.float32)
-            known = np.flatnonzero(total)
-            count[known] = self.runs[n].find(key[known])
-            short = backed_off(count, total, short.ravel()).reshape(y.shape)
-            out.append(short)
+        out = [short.reshape(y.shape)]
+        # runs lie within a word: where one of its later subwords begins a word there is none
+        at, context = np.arange(len(now)), now.astype(np.uint64)
+        for n, last, more in ((3, now, one), (4, one, two)):
+            at = at[~self.starts[last[at]]]
+            context[at] |= more[at].astype(np.uint64) << np.uint64(BITS * (n - 2))
+            row = self.contexts[n].find(context[at])
+            known, row = at[row > 0], row[row > 0].astype(np.int64) - 1
+            count = self.runs[n].find((context[known] << np.uint64(BITS)) | mark[known].astype(np.uint64))
+            total, kinds = self.spread[n][:, row]
+            short = short.copy()
+            short[known] = backed_off(count, total, kinds, short[known])
+            out.append(short.reshape(y.shape))
         return out
 
     def probabilities(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Of the outcomes y (windows, STRIDE). Where x is PAD the value means nothing."""
         e = self.weights(x)
         total = e.sum(2)
-        i = np.arange(STRIDE)
         history = self.histories(x, y)
-        near = 0
+        n, near, far = len(x), np.zeros_like(total), total.copy()
         for d, p in enumerate(history):
-            near = near + e[:, i, CONTEXT - d + i] * p
-            e[:, i, CONTEXT - d + i] = 0
-        begin = self.starts[y]
-        out = near + e.sum(2) * history[-1]
-        w, r = np.nonzero(begin)  # only where a word begins do the values differ from plain histories
-        mixed = np.einsum("nj,njf->nf", e[w, r], self.mixtures[x[w]])
-        far = (mixed * self.outcome[y[w, r]]).sum(1)
-        out[w, r] = near[w, r] * self.begins[np.minimum(x[w, CONTEXT + r], END), y[w, r]] + history[-1][w, r] * far
+            # the weights at lag d, a diagonal of each window
+            own = np.lib.stride_tricks.as_strided(e[:, 0, CONTEXT - d :], (n, STRIDE), (e.strides[0], e.strides[1] + e.strides[2]))
+            near += own * p
+            far -= own
+            own[...] = 0
+        out = near + np.maximum(far, 0) * history[-1]
+        w, r = np.nonzero(self.starts[y])  # only where a word begins do the values differ from plain histories
+        mixed = np.matmul(e, self.mixtures[x])[w, r]
+        begins = np.einsum("nf,nf->n", mixed, self.outcome[y[w, r]])
+        out[w, r] = near[w, r] * self.begins[np.minimum(x[w, CONTEXT + r], END), y[w, r]] + history[-1][w, r] * begins
         return out / total
 
     def values(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -234,10 +234,10 @@ class Attention:
 
 
 def windows_of(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Training windows (x, y) of pieces of text; outcomes that are not there are -1."""
+    """The first TRAIN_WINDOWS training windows (x, y) of each piece of text; outcomes that are not there are -1."""
     xs, ys = [], []
     for s in sequences:
-        for a in range(0, len(s) - 1, STRIDE):
+        for a in range(0, min(len(s) - 1, TRAIN_WINDOWS * STRIDE), STRIDE):
             x, y = np.full(SPAN, PAD, np.int32), np.full(STRIDE, -1, np.int32)
             left = s[max(0, a - CONTEXT) : a + STRIDE]
             x[CONTEXT - min(a, CONTEXT) : CONTEXT - min(a, CONTEXT) + len(left)] = left
@@ -283,8 +283,9 @@ def train(model: Attention, x: np.ndarray, y: np.ndarray, rate: float, batch: in
     return now
 
 
-def start_model(runs: dict[int, tuple[np.ndarray, np.ndarray]], across: np.ndarray, far: np.ndarray, starts: np.ndarray) -> Attention:
-    """runs: by length 2, 3, 4 the keys of runs within words and their counts; across, far: SIZE x SIZE counts of first subwords."""
+def start_model(runs: dict[int, tuple[np.ndarray, np.ndarray]], first: np.ndarray, across: np.ndarray, far: np.ndarray, starts: np.ndarray) -> Attention:
+    """runs: by length 2, 3, 4 the keys of runs within words and their counts; first: counts of first subwords and the end;
+    across, far: SIZE x SIZE counts of pairs of them."""
     after = np.zeros((SIZE, SIZE + 1))
     key, n = runs[2]
     after[key >> BITS, key & ((1 << BITS) - 1)] = n
@@ -294,16 +295,17 @@ def start_model(runs: dict[int, tuple[np.ndarray, np.ndarray]], across: np.ndarr
     back = np.where(inner, after[:END].sum(0) + 0.1, 0)
     after = np.where(inner, after + 5 * back / back.sum(), 0)
     after = (after / after.sum(1, keepdims=True)).astype(np.float32)
-    first = np.where(starts, across.sum(0) + 0.1, 0)
+    first = np.where(starts, first + 0.1, 0)
     first = first / first.sum()
-    begins = across * starts + 20 * first
+    begins = across * starts + BEGIN_WEIGHT * first
     begins = (begins / begins.sum(1, keepdims=True)).astype(np.float32)
-    tables, contexts = {}, {}
+    tables, contexts, spread = {}, {}, {}
     for length in (3, 4):
         key, n = runs[length]
         tables[length] = HashTable(key, n)
         context, inverse = np.unique(key >> BITS, return_inverse=True)
-        contexts[length] = HashTable(context, np.bincount(inverse, n, len(context)))
+        contexts[length] = HashTable(context, np.arange(1, len(context) + 1))  # exact in 32 bits up to 2^24
+        spread[length] = np.stack([np.bincount(inverse, n, len(context)), np.bincount(inverse, minlength=len(context))]).astype(np.float32)
     rng = np.random.default_rng(11)
     far = far * starts + 1e-3 * first
     # expectation maximisation of far[x, y] = sum over f of weight[x, f] factor[f, y]
@@ -319,7 +321,7 @@ def start_model(runs: dict[int, tuple[np.ndarray, np.ndarray]], across: np.ndarr
     pos[:ORDER] = 0.0, 1.0, 2.0
     small = lambda: (0.1 * rng.standard_normal((SIZE + 1, DIM))).astype(np.float32)
     model = Attention(
-        small(), small(), np.zeros(SIZE + 1, np.float32), pos, after, tables, contexts, begins,
+        small(), small(), np.zeros(SIZE + 1, np.float32), pos, after, tables, contexts, spread, begins,
         (w / w.sum(1, keepdims=True)).astype(np.float32), (f / f.sum(1, keepdims=True)).astype(np.float32), starts,
     )
     model.prepare()
@@ -354,29 +356,34 @@ def word_counts(train_docs: DataFrame) -> DataFrame:
 
 
 def samples(train_docs: DataFrame, path: str) -> DataFrame:
-    """ids (binary, 16 bits): SAMPLE_WORDS words of each training document from a place its hash gives, with the end if they reach it."""
+    """ids (binary, 16 bits) of a piece of each training document, with END before it and behind it where the document ends."""
 
     def block(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         out = []
         for text in raw(batch.column("text")):
-            words = text.lower().split()
-            at = xxhash.xxh64_intdigest(text, 7) % max(1, len(words) - SAMPLE_WORDS + 1)
-            some = words[at : at + SAMPLE_WORDS]
-            ids = np.frombuffer(b"".join(encode_words(path, some)), np.uint16)
-            # END before the first word and behind the last one; else the piece is open on that side
-            out.append(b"".join([np.array([END] if not at else [], np.uint16).tobytes(), ids.tobytes(), np.array([END] if at + SAMPLE_WORDS >= len(words) else [], np.uint16).tobytes()]))
+            at = xxhash.xxh64_intdigest(text, 7) % max(1, len(text) - SAMPLE_BYTES + 1)
+            end = at + SAMPLE_BYTES
+            # a word that the piece cuts is left out
+            some = text[at:end].lower().split()
+            if at and some and not text[at - 1 : at].isspace() and not text[at : at + 1].isspace():
+                some = some[1:]
+            if end < len(text) and some and not text[end - 1 : end].isspace() and not text[end : end + 1].isspace():
+                some = some[:-1]
+            ids = word_ids(path, some)[1]
+            left, right = np.array([END] if not at else [], np.uint16), np.array([END] if end >= len(text) else [], np.uint16)
+            out.append(np.concatenate([left, ids, right]).tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
 
     return map_arrow(train_docs.select("text"), block, "ids binary")
 
 
 COUNTED = "kind int, key long, n double"
-ACROSS, FAR = 0, 1  # kinds of counts beside the lengths of runs
+ACROSS, FAR, FIRST = 0, 1, 5  # kinds of counts beside the lengths of runs
 
 
 def _counted(kind: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     key, inverse = np.unique(key, return_inverse=True)
-    n = np.bincount(inverse, n, len(key))
+    n = np.bincount(inverse, n, len(key)).astype(np.float64)  # without a key numpy gives integers
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), pa.array(key.astype(np.int64)), pa.array(n)], ["kind", "key", "n"])
 
 
@@ -386,11 +393,10 @@ def runs_in_words(counts: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, n = batch.column("word").to_pylist(), batch.column("n").to_numpy().astype(np.float64)
-            ids = encode_words(path, words)
-            size = np.fromiter(map(len, ids), np.int64, len(ids)) // 2 + 1
-            end = np.array([EOW], np.uint16).tobytes()
-            flat = np.frombuffer(b"".join([x + end for x in ids]), np.uint16).astype(np.int64)
-            own = np.repeat(np.arange(len(ids)), size)
+            size, ids = word_ids(path, words)
+            flat = np.insert(ids.astype(np.int64), np.cumsum(size), EOW)
+            own = np.repeat(np.arange(len(words)), size + 1)
+            yield _counted(FIRST, ids[np.cumsum(size) - size].astype(np.int64), n)
             for length in (2, 3, 4):
                 m = len(flat) - length + 1
                 if m > 0:
@@ -435,7 +441,8 @@ def begins_word(path: str) -> np.ndarray:
     return out
 
 
-def learn(counts: DataFrame, sampled: DataFrame, path: str) -> Attention:
+def learn(counts: DataFrame, sampled: DataFrame, path: str) -> tuple[Attention, Broadcast]:
+    """The model, and the broadcast of its tables, which are the same for all rounds and for scoring; LEARNED goes along by itself."""
     starts = begins_word(path)
     summed = materialise(runs_in_words(counts, path).unionByName(pairs_in_samples(sampled, starts)).groupBy("kind", "key").agg(F.sum("n").alias("n")), "runs")
 
@@ -452,14 +459,19 @@ def learn(counts: DataFrame, sampled: DataFrame, path: str) -> Attention:
         key, n = take(kind)
         square[kind] = np.zeros((SIZE, SIZE))
         square[kind][key >> BITS, key & ((1 << BITS) - 1)] = n
-    model = start_model({length: take(length) for length in (2, 3, 4)}, square[ACROSS], square[FAR], starts)
+    first = np.zeros(SIZE)
+    key, n = take(FIRST)
+    first[key] = n
+    first[END] = (counts.filter(F.col("word") == F.lit(END_WORD)).select("n").first() or (0,))[0]
+    model = start_model({length: take(length) for length in (2, 3, 4)}, first, square[ACROSS], square[FAR], starts)
     shapes = [getattr(model, n).shape for n in LEARNED]
+    tables = sampled.sparkSession.sparkContext.broadcast(model)
     for r in range(ROUNDS):
-        shipped, rate = sampled.sparkSession.sparkContext.broadcast(model), RATE / (1 + 3 * r)
+        learned, rate = {n: getattr(model, n) for n in LEARNED}, RATE / (1 + 3 * r)
 
-        def run(batches: Iterator[pa.RecordBatch], shipped=shipped, rate=rate) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], learned=learned, rate=rate) -> Iterator[pa.RecordBatch]:
             """Batches train one after the other; the task's weights leave with the number of windows behind them."""
-            now, seen = shipped.value, 0
+            now, seen = replace(tables.value, **learned), 0
             for batch in batches:
                 x, y = windows_of([np.frombuffer(p, np.uint16) for p in batch.column("ids").to_pylist()])
                 if len(x):
@@ -480,8 +492,8 @@ def learn(counts: DataFrame, sampled: DataFrame, path: str) -> Attention:
             parts[name] = flat[at : at + size].reshape(shape)
             at += size
         model = replace(model, **parts)
-        model.prepare()
-    return model
+    model.prepare()
+    return model, tables
 
 
 # scoring
@@ -503,27 +515,30 @@ def score(docs: DataFrame, path: str | None = None, hot_words: int = HOT_WORDS)
     counts = materialise(word_counts(training), "words")
     sampled = materialise(samples(training, path), "samples")
     n_all, n_distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    model = learn(counts, sampled, path)
+    model, tables = learn(counts, sampled, path)
+    learned = {n: getattr(model, n) for n in LEARNED}
     hot = counts.filter(F.col("word") != F.lit(END_WORD)).orderBy(F.desc("n"), "word").limit(hot_words).toArrow()
     ends = (counts.filter(F.col("word") == F.lit(END_WORD)).select("n").first() or (0,))[0]
     total = n_all + 0.1 * (n_distinct + 1)
-    shipped = docs.sparkSession.sparkContext.broadcast((model, hot.column("word").to_pylist(), hot.column("n").to_numpy()))
+    shipped = docs.sparkSession.sparkContext.broadcast((hot.column("word").to_pylist(), hot.column("n").to_numpy()))
     key = xxhash.xxh64_hexdigest(os.urandom(16))
     kinds = {"row": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "score": pa.float64(), "word": pa.binary(), "tf": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, words, n = shipped.value
+        words, n = shipped.value
+        model = replace(tables.value, **learned)
+        model.prepare()
         if key not in _tables:
             _tables.clear()
-            _tables[key] = WordTable(path, words, n)
+            _tables[key] = WordTable(path, words)
         known = _tables[key]
         logs = np.concatenate([np.log10((n + 0.1) / total), [0.0]])  # the last for words of unknown count
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for part in slices(batch):
                 docs_ = [t.lower().split() for t in raw(part.column("text"))]
-                numbers = known.block(docs_)
-                scores = model.score([known.sequence(x) for x in numbers])
+                numbers, sequences = known.block(docs_)
+                scores = model.score(sequences)
                 cols = {k: [] for k in kinds}
                 for doc, held, words_, x, s in zip(part.column("doc_id").to_pylist(), part.column("held_out").to_pylist(), docs_, numbers, scores.tolist(), strict=True):
                     row += 1
