@@ -185,8 +185,9 @@ def _finer(rows: DataFrame, keys: list[np.ndarray], radius: int, bits: int) -> D
     return rows.mapInArrow(run, "shard binary, node long, fp binary")
 
 
-def links(nodes: DataFrame, radius: int, bits: int, keys: list[np.ndarray], hot: int = HOT) -> DataFrame:
-    """nodes (node long, fp binary, distinct) -> edges (a, b) that connect exactly the nodes linked in some shard."""
+def links(nodes: DataFrame, radius: int, bits: int, keys: list[np.ndarray], hot: int = HOT, every: bool = False) -> DataFrame:
+    """nodes (node long, fp binary, distinct) -> edges (a, b) that connect exactly the nodes linked in some shard; with
+    `every` all pairs of nodes within the radius, a < b, once for each task that finds them."""
     rows = _shards(nodes, keys)
     big = rows.groupBy("shard").count().filter(F.col("count") > hot).select("shard")
     big = materialise(big, "hot")
@@ -203,6 +204,13 @@ def links(nodes: DataFrame, radius: int, bits: int, keys: list[np.ndarray], hot:
             node = t.column("node").to_numpy()
             words = np.frombuffer(b"".join(fps), ">u8").astype(np.uint64).reshape(len(fps), -1)
             forest = Forest(words, shard)
+            if every:
+                for x, y in forest.links(radius):
+                    pair = np.unique(np.sort(np.stack([node[x], node[y]], 1), 1), axis=0)
+                    pair = pair[pair[:, 0] < pair[:, 1]]
+                    if len(pair):
+                        yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], ["a", "b"])
+                return
             top = roots(len(words), forest.links(radius))
             own = np.flatnonzero(top != np.arange(len(top)))
             if len(own):
@@ -243,14 +251,24 @@ def cluster(prints: DataFrame, radius: int, bits: int, keys: list[np.ndarray], h
 
     Documents without a doc_id link like others; if a component has no doc_id at all its id is null.
     """
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    # a fingerprint of documents without ids gets a node number below all ids
-    nodes = materialise(nodes.select("fp", "least", F.coalesce("least", -2 - F.pmod(F.xxhash64("fp"), F.lit(2**61))).alias("node")), "nodes")
-    label = components(links(nodes, radius, bits, keys, hot))
-    joined = nodes.join(label, "node", "left").select("fp", "least", F.coalesce("label", "node").alias("label"))
+    nodes = numbered(prints, "fp")
+    return grouped(prints, nodes, links(nodes, radius, bits, keys, hot), "fp").select("doc_id", "fp", "component_id")
+
+
+def numbered(prints: DataFrame, key: str, *more: str) -> DataFrame:
+    """key, what follows from it, least doc_id and a node number for each key."""
+    nodes = prints.groupBy(key, *more).agg(F.min("doc_id").alias("least"))
+    # a key of documents without ids gets a node number below all ids
+    return materialise(nodes.select(key, *more, "least", F.coalesce("least", -2 - F.pmod(F.xxhash64(key), F.lit(2**61))).alias("node")), "nodes")
+
+
+def grouped(prints: DataFrame, nodes: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """prints with component_id: the least doc_id among all documents that the edges between their nodes reach."""
+    label = components(edges)
+    joined = nodes.join(label, "node", "left").select(key, "least", F.coalesce("label", "node").alias("label"))
     least = joined.groupBy("label").agg(F.min("least").alias("component_id"))
-    of = materialise(joined.join(least, "label").select("fp", "component_id"), "parts")
-    return prints.join(of, "fp").select("doc_id", "fp", "component_id")
+    of = materialise(joined.join(least, "label").select(key, "component_id"), "parts")
+    return prints.join(of, key)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int = 42, hot: int = HOT) -> DataFrame:
@@ -261,22 +279,81 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: in
 
 
 def plan_for(similarity: float, rows: int, recall: float = 0.97) -> tuple[int, int, list[np.ndarray]]:
-    """(bits, radius, keys) to link texts whose shingle sets have at least this Jaccard similarity.
+    """(bits, radius, keys) of the candidates for texts whose shingle sets have at least this Jaccard similarity.
 
-    Bits of two fingerprints differ with the probability angle / pi. The block width follows the number of rows, so that
-    shards stay near 64 nodes; as many blocks are taken as find a pair at the threshold with the wanted recall, pairs
-    above it more surely. The radius is one standard deviation beyond the mean distance at the threshold.
+    Bits of two fingerprints of sets differ with the probability angle / pi or less. As many blocks are taken
+    as find a pair at the threshold with the wanted recall, pairs above it more surely. The radius is three standard
+    deviations beyond the mean distance at the threshold. The block width follows the number of rows, so that shards stay
+    near 64 nodes.
     """
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
     width = max(12, math.ceil(math.log2(max(2, rows))) - 6)
     blocks = math.ceil(math.log(1 - recall) / math.log(1 - (1 - p) ** width))
     bits = -(-width * blocks // 64) * 64
     keys = [np.arange(k * width, (k + 1) * width) for k in range(bits // width)]
-    return bits, round(bits * p + math.sqrt(bits * p * (1 - p))), keys
+    return bits, round(bits * p + 3 * math.sqrt(bits * p * (1 - p))), keys
+
+
+def shingle_set(text: bytes, size: int, seed: int) -> np.ndarray:
+    """Sorted hashes of the distinct shingles."""
+    s = shingles(text, size)
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, s, repeat(seed)), np.uint64, len(s)))
+
+
+def words_key(text: bytes) -> bytes:
+    """The same for texts of the same lower-cased words."""
+    return xxhash.xxh3_128_digest(b" ".join(text.lower().split()))
+
+
+def set_prints(docs: DataFrame, shingle: int, bits: int, seed: int) -> DataFrame:
+    """doc_id, key of the words, fp of the distinct shingles."""
+
+    def block(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        found = raw(batch.column("text"))
+        keys = pa.array(list(map(words_key, found)), pa.binary())
+        fps = pa.array([majority(shingle_set(t, shingle, seed), bits) for t in found], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), keys, fps], ["doc_id", "key", "fp"])
+
+    return map_arrow(texts(docs), block, "doc_id long, key binary, fp binary")
+
+
+def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, similarity: float, seed: int) -> DataFrame:
+    """Those of the pairs (a, b) whose shingle sets, as 64-bit hashes, have at least the Jaccard similarity."""
+
+    def sets(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        found = raw(batch.column("text"))
+        keys = pa.array(list(map(words_key, found)), pa.binary())
+        yield pa.RecordBatch.from_arrays([keys, pa.array([shingle_set(t, shingle, seed).tobytes() for t in found], pa.binary())], ["key", "hashes"])
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                x, y = (np.frombuffer(h.as_buffer(), np.uint64) for h in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both > 0 and both / (len(x) + len(y) - both) >= similarity)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = materialise(nodes.join(ends, "node", "left_semi").select("node", "key", "least"), "wanted")
+    ids = wanted.select(F.col("least").alias("id")).distinct()
+    # ids grow with the documents and are not broadcast; of a key the documents of its least id hold its words
+    some = texts(docs).join(ids.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    held = map_arrow(some, sets, "key binary, hashes binary").join(wanted.select("node", "key"), "key")
+    held = materialise(held.groupBy("node", "key").agg(F.first("hashes").alias("hashes")), "sets")
+    x = held.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
+    y = held.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(alike, "a long, b long")
 
 
 def similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, seed: int = 42, hot: int = HOT) -> DataFrame:
-    """doc_id, component_id of texts whose word shingles are about `similarity` alike or more, by longer fingerprints."""
+    """doc_id, component_id of texts joined by links between texts whose sets of word shingles are `similarity` alike or more.
+
+    Longer fingerprints only find candidates; a link is kept if the sets themselves are alike, so no text below the
+    threshold is linked, whatever the size of the table. Texts of the same words are one node and need no link.
+    """
     bits, radius, keys = plan_for(similarity, docs.count())
-    prints = materialise(fingerprints(docs, shingle, bits, seed), "prints")
-    return cluster(prints, radius, bits, keys, hot).select("doc_id", "component_id")
+    prints = materialise(set_prints(docs, shingle, bits, seed), "prints")
+    nodes = numbered(prints, "key", "fp")
+    pairs = materialise(links(nodes, radius, bits, keys, hot, every=True).distinct(), "pairs")
+    return grouped(prints, nodes, verified(docs, nodes, pairs, shingle, similarity, seed), "key").select("doc_id", "component_id")
