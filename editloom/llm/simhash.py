@@ -27,6 +27,7 @@ from .common import forget, map_arrow, materialise, raw, texts
 from .components import components
 
 HOT = 20_000
+WIDTH = 12  # bits of a block of the longer fingerprints
 LANES = np.array([sum(((b >> j) & 1) << (8 * j) for j in range(8)) for b in range(256)], np.uint64)
 MIXES = [0] + [(0x9E3779B97F4A7C15 * (i + 1)) & (2**64 - 1) for i in range(63)]
 
@@ -278,19 +279,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: in
     return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-def plan_for(similarity: float, rows: int, recall: float = 0.97) -> tuple[int, int, list[np.ndarray]]:
+def plan_for(similarity: float, recall: float = 0.97) -> tuple[int, int, list[np.ndarray]]:
     """(bits, radius, keys) of the candidates for texts whose shingle sets have at least this Jaccard similarity.
 
-    Bits of two fingerprints of sets differ with the probability angle / pi or less. As many blocks are taken
+    Bits of two fingerprints of sets differ with the probability angle / pi or less. As many blocks of WIDTH bits are taken
     as find a pair at the threshold with the wanted recall, pairs above it more surely. The radius is three standard
-    deviations beyond the mean distance at the threshold. The block width follows the number of rows, so that shards stay
-    near 64 nodes.
+    deviations beyond the mean distance at the threshold. The plan is the same for every number of rows: shards that grow
+    hot are cut, which changes no result.
     """
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    width = max(12, math.ceil(math.log2(max(2, rows))) - 6)
-    blocks = math.ceil(math.log(1 - recall) / math.log(1 - (1 - p) ** width))
-    bits = -(-width * blocks // 64) * 64
-    keys = [np.arange(k * width, (k + 1) * width) for k in range(bits // width)]
+    blocks = math.ceil(math.log(1 - recall) / math.log(1 - (1 - p) ** WIDTH))
+    bits = -(-WIDTH * blocks // 64) * 64
+    keys = [np.arange(k * WIDTH, (k + 1) * WIDTH) for k in range(bits // WIDTH)]
     return bits, round(bits * p + 3 * math.sqrt(bits * p * (1 - p))), keys
 
 
@@ -352,7 +352,7 @@ def similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, seed: in
     Longer fingerprints only find candidates; a link is kept if the sets themselves are alike, so no text below the
     threshold is linked, whatever the size of the table. Texts of the same words are one node and need no link.
     """
-    bits, radius, keys = plan_for(similarity, docs.count())
+    bits, radius, keys = plan_for(similarity)
     prints = materialise(set_prints(docs, shingle, bits, seed), "prints")
     nodes = numbered(prints, "key", "fp")
     pairs = materialise(links(nodes, radius, bits, keys, hot, every=True).distinct(), "pairs")

@@ -71,3 +71,8 @@ def test_documents_without_or_of_one_id(spark):
     rows = [(None, " ".join(words)), (7, near), (7, "another text"), (9, "ANOTHER text"), (None, None), (11, "")]
     got = sorted((r["doc_id"] or 0, r["component_id"]) for r in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == [(0, 7), (0, 11), (7, 7), (7, 7), (9, 7), (11, 11)]
+
+
+def test_one_plan_for_tables_of_every_size():
+    bits, radius, keys = simhash.plan_for(0.8)
+    assert (bits, radius, len(keys)) == (320, 68, 26)
