@@ -8,7 +8,7 @@ of the history by content; for those further back a mixture of FACTORS distribut
 where the word ends. Weighted by attention that is a probability, without a pass over the vocabulary.
 
 The values come from counts over the whole training corpus. q, k, b and pos are learned by Adam, with gradients in numpy, on
-windows of every training document, so what is learned from grows with the corpus: each task trains on its windows from the
+all windows of every training document, so what is learned from grows with the text: each task trains on its windows from the
 same start, and weights are averaged by windows, ROUNDS times.
 
 A text is scored in windows of STRIDE positions with CONTEXT positions before them, so every token is scored once; windows
@@ -46,8 +46,6 @@ BITS = 11  # of an id in a key
 KEPT = {3: 300_000, 4: 600_000}  # commonest runs of so many subwords whose counts are kept; the rest back off
 BEGIN_WEIGHT = 100.0  # of first subwords as such against what follows a certain last subword
 BACK_OFF = 2.0  # times the kinds of successors of a history: the weight of the shorter history
-SAMPLE_BYTES = 300  # of each training document, from a place given by its hash, less the words cut at the ends
-TRAIN_WINDOWS = 2  # of each sample
 ROUNDS, RATE = 2, 0.02
 HOT_WORDS = 500_000  # words whose counts go to every task; all others are joined
 END_WORD = b" "  # no word holds a space
@@ -234,18 +232,20 @@ class Attention:
 
 
 def windows_of(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The first TRAIN_WINDOWS training windows (x, y) of each piece of text; outcomes that are not there are -1."""
-    xs, ys = [], []
-    for s in sequences:
-        for a in range(0, min(len(s) - 1, TRAIN_WINDOWS * STRIDE), STRIDE):
-            x, y = np.full(SPAN, PAD, np.int32), np.full(STRIDE, -1, np.int32)
-            left = s[max(0, a - CONTEXT) : a + STRIDE]
-            x[CONTEXT - min(a, CONTEXT) : CONTEXT - min(a, CONTEXT) + len(left)] = left
-            right = s[a + 1 : a + 1 + STRIDE]
-            y[: len(right)] = right
-            xs.append(x)
-            ys.append(y)
-    return (np.stack(xs), np.stack(ys)) if xs else (np.zeros((0, SPAN), np.int32), np.zeros((0, STRIDE), np.int32))
+    """All training windows (x, y) of each text; outcomes that are not there are -1."""
+    sequences = [s for s in sequences if len(s) > 1]
+    many = np.array([-(-(len(s) - 1) // STRIDE) for s in sequences], np.int64)
+    own, y = np.full((int(many.sum()), STRIDE), PAD, np.int32), np.full((int(many.sum()), STRIDE), -1, np.int32)
+    first = np.cumsum(many) - many
+    fx, fy = own.reshape(-1), y.reshape(-1)
+    for s, a, n in zip(sequences, (first * STRIDE).tolist(), (many * STRIDE).tolist(), strict=True):
+        fx[a : a + min(len(s), n)] = s[:n]
+        fy[a : a + len(s) - 1] = s[1:]
+    x = np.full((len(own), SPAN), PAD, np.int32)
+    x[:, CONTEXT:] = own
+    x[1:, :CONTEXT] = own[:-1, STRIDE - CONTEXT :]
+    x[first, :CONTEXT] = PAD
+    return x, y
 
 
 LEARNED = ("q", "k", "b", "pos")
@@ -356,22 +356,11 @@ def word_counts(train_docs: DataFrame) -> DataFrame:
 
 
 def samples(train_docs: DataFrame, path: str) -> DataFrame:
-    """ids (binary, 16 bits) of a piece of each training document, with END before it and behind it where the document ends."""
+    """ids (binary, 16 bits) of each training document, whole, with END before and behind."""
 
     def block(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        out = []
-        for text in raw(batch.column("text")):
-            at = xxhash.xxh64_intdigest(text, 7) % max(1, len(text) - SAMPLE_BYTES + 1)
-            end = at + SAMPLE_BYTES
-            # a word that the piece cuts is left out
-            some = text[at:end].lower().split()
-            if at and some and not text[at - 1 : at].isspace() and not text[at : at + 1].isspace():
-                some = some[1:]
-            if end < len(text) and some and not text[end - 1 : end].isspace() and not text[end : end + 1].isspace():
-                some = some[:-1]
-            ids = word_ids(path, some)[1]
-            left, right = np.array([END] if not at else [], np.uint16), np.array([END] if end >= len(text) else [], np.uint16)
-            out.append(np.concatenate([left, ids, right]).tobytes())
+        sequences = WordTable(path, []).block([t.lower().split() for t in raw(batch.column("text"))])[1]
+        out = [np.append(END, s).astype(np.uint16).tobytes() for s in sequences]
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
 
     return map_arrow(train_docs.select("text"), block, "ids binary")
@@ -413,20 +402,23 @@ def pairs_in_samples(sampled: DataFrame, starts: np.ndarray) -> DataFrame:
     """What begins the next word after the last subword of this one, and word starts that follow word starts within the context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        count = {kind: np.zeros(SIZE * SIZE, np.int64) for kind in (ACROSS, FAR)}
+        for part in (part for batch in batches for part in slices(batch, "ids")):
             across, far = [], []
-            for piece in batch.column("ids").to_pylist():
+            for piece in part.column("ids").to_pylist():
                 s = np.frombuffer(piece, np.uint16).astype(np.int64)
                 at = np.flatnonzero(starts[s])
                 later = at[at > 0]
-                across.append((s[later - 1] << BITS) | s[later])
+                across.append(s[later - 1] * SIZE + s[later])
                 for d in range(1, 7):
                     a, b = at[:-d], at[d:]
                     ok = (b - a >= ORDER) & (b - a <= SPAN)
-                    far.append((s[a[ok]] << BITS) | s[b[ok]])
+                    far.append(s[a[ok]] * SIZE + s[b[ok]])
             for kind, keys in ((ACROSS, across), (FAR, far)):
-                key = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-                yield _counted(kind, key, np.ones(len(key)))
+                count[kind] += np.bincount(np.concatenate(keys), minlength=SIZE * SIZE)
+        for kind, n in count.items():
+            at = np.flatnonzero(n)
+            yield _counted(kind, (at // SIZE << BITS) | at % SIZE, n[at].astype(np.float64))
 
     return sampled.select("ids").mapInArrow(run, COUNTED)
 
@@ -470,10 +462,10 @@ def learn(counts: DataFrame, sampled: DataFrame, path: str) -> tuple[Attention,
         learned, rate = {n: getattr(model, n) for n in LEARNED}, RATE / (1 + 3 * r)
 
         def run(batches: Iterator[pa.RecordBatch], learned=learned, rate=rate) -> Iterator[pa.RecordBatch]:
-            """Batches train one after the other; the task's weights leave with the number of windows behind them."""
+            """Parts of batches train one after the other; the task's weights leave with the number of windows behind them."""
             now, seen = replace(tables.value, **learned), 0
-            for batch in batches:
-                x, y = windows_of([np.frombuffer(p, np.uint16) for p in batch.column("ids").to_pylist()])
+            for part in (part for batch in batches for part in slices(batch, "ids")):
+                x, y = windows_of([np.frombuffer(p, np.uint16) for p in part.column("ids").to_pylist()])
                 if len(x):
                     now, seen = train(now, x, y, rate), seen + len(x)
             if seen:

@@ -1,0 +1,32 @@
+import numpy as np
+
+from editloom.llm import lm
+from editloom.llm.common import tokenizer_file
+
+PATH = tokenizer_file("byte_bpe_50k.tiktoken")
+LONG = " ".join(f"word{i} thing" for i in range(500))
+
+
+def pieces(spark):
+    train = spark.createDataFrame([(1, LONG), (2, ""), (3, "a b")], "doc_id long, text string")
+    return lm.samples(train, PATH)
+
+
+def test_whole_texts_are_learned_from(spark):
+    ids = [np.frombuffer(r["ids"], np.uint16) for r in pieces(spark).collect()]
+    for text, got in zip((LONG, "", "a b"), sorted(ids, key=len, reverse=True)[:1] + sorted(ids, key=len)[:2], strict=True):
+        assert got.tolist() == [lm.END, *lm.word_ids(PATH, text.encode().split())[1].tolist(), lm.END]
+    x, y = lm.windows_of(ids)
+    assert (y >= 0).sum() == sum(len(s) - 1 for s in ids)
+    assert sorted(y[y >= 0].tolist()) == sorted(i for s in ids for i in s[1:].tolist())
+    for s in ids:  # every window by hand
+        x, y = lm.windows_of([s])
+        for k in range(len(x)):
+            a = k * lm.STRIDE
+            want = [lm.PAD] * max(0, lm.CONTEXT - a) + s[max(0, a - lm.CONTEXT) : a + lm.STRIDE].tolist()
+            assert x[k].tolist() == (want + [lm.PAD] * lm.SPAN)[: lm.SPAN]
+
+
+def test_pairs_are_counted_over_whole_texts(spark):
+    counts = lm.pairs_in_samples(pieces(spark), lm.begins_word(PATH)).groupBy("kind").sum("n").collect()
+    assert {r["kind"]: r["sum(n)"] for r in counts}[lm.ACROSS] == 1000 + 1 + 1 + 2 + 1
