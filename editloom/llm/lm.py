@@ -43,7 +43,6 @@ STRIDE, CONTEXT = 16, 8
 SPAN = STRIDE + CONTEXT
 DIM, FACTORS, ORDER = 8, 8, 3
 BITS = 11  # of an id in a key
-KEPT = {3: 300_000, 4: 600_000}  # commonest runs of so many subwords whose counts are kept; the rest back off
 BEGIN_WEIGHT = 100.0  # of first subwords as such against what follows a certain last subword
 BACK_OFF = 2.0  # times the kinds of successors of a history: the weight of the shorter history
 ROUNDS, RATE = 2, 0.02
@@ -304,7 +303,9 @@ def start_model(runs: dict[int, tuple[np.ndarray, np.ndarray]], first: np.ndarra
         key, n = runs[length]
         tables[length] = HashTable(key, n)
         context, inverse = np.unique(key >> BITS, return_inverse=True)
-        contexts[length] = HashTable(context, np.arange(1, len(context) + 1))  # exact in 32 bits up to 2^24
+        if len(context) >= 1 << 24:
+            raise ValueError("more contexts of runs than 32-bit floats can number")
+        contexts[length] = HashTable(context, np.arange(1, len(context) + 1))
         spread[length] = np.stack([np.bincount(inverse, n, len(context)), np.bincount(inverse, minlength=len(context))]).astype(np.float32)
     rng = np.random.default_rng(11)
     far = far * starts + 1e-3 * first
@@ -439,11 +440,8 @@ def learn(counts: DataFrame, sampled: DataFrame, path: str) -> tuple[Attention,
     summed = materialise(runs_in_words(counts, path).unionByName(pairs_in_samples(sampled, starts)).groupBy("kind", "key").agg(F.sum("n").alias("n")), "runs")
 
     def take(kind: int) -> tuple[np.ndarray, np.ndarray]:
-        """To the driver: all pairs, of which there are at most (SIZE + 1)^2, and the commonest longer runs."""
-        rows = summed.filter(F.col("kind") == kind)
-        if kind in KEPT:
-            rows = rows.orderBy(F.desc("n"), "key").limit(KEPT[kind])
-        made = rows.select("key", "n").toArrow()
+        """To the driver: all pairs, of which there are at most (SIZE + 1)^2, and all longer runs, which grow with the kinds of words."""
+        made = summed.filter(F.col("kind") == kind).select("key", "n").toArrow()
         return made.column("key").to_numpy().astype(np.int64), made.column("n").to_numpy()
 
     square = {}

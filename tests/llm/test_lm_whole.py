@@ -30,3 +30,13 @@ def test_whole_texts_are_learned_from(spark):
 def test_pairs_are_counted_over_whole_texts(spark):
     counts = lm.pairs_in_samples(pieces(spark), lm.begins_word(PATH)).groupBy("kind").sum("n").collect()
     assert {r["kind"]: r["sum(n)"] for r in counts}[lm.ACROSS] == 1000 + 1 + 1 + 2 + 1
+
+
+def test_all_runs_are_kept(spark):
+    letters = np.random.default_rng(4).integers(97, 123, (150_000, 14)).astype(np.uint8)
+    counts = spark.createDataFrame([(bytearray(w.tobytes()), 1) for w in letters], "word binary, n long")
+    model = lm.learn(counts, pieces(spark), PATH)[0]
+    for length in (3, 4):
+        keys = lm.runs_in_words(counts, PATH).filter(f"kind = {length}").select("key").distinct().toArrow().column("key").to_numpy()
+        assert (model.runs[length].find(keys.astype(np.uint64)) > 0).all()
+    assert len(keys) > 600_000
