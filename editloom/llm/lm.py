@@ -1,18 +1,25 @@
 """Scores of texts by a small causal self-attention model on subword ids, beside a word unigram base.
 
-Subwords are the first RANKS ranks of a public byte-level vocabulary, which by themselves are a valid smaller one; a text is
-its lower-cased words, each behind a space, and one end. At every position the model attends to itself and the positions
-before it, with weights softmax(q[x_t] . k[x_j] + b[x_j] + pos[t - j]). The value of the position j is a distribution over
-the next subword: for the last ORDER positions the successors of the run from j to t, so that attention chooses the length
-of the history by content; for those further back a mixture of FACTORS distributions over first subwords of words, taken
-where the word ends. Weighted by attention that is a probability, without a pass over the vocabulary.
-
-The values come from counts over the whole training corpus. q, k, b and pos are learned by Adam, with gradients in numpy, on
-all windows of every training document, so what is learned from grows with the text: each task trains on its windows from the
-same start, and weights are averaged by windows, ROUNDS times.
-
-A text is scored in windows of STRIDE positions with CONTEXT positions before them, so every token is scored once; windows
-are batched, keys before the text or after the query are masked.
+A text is its lower-cased words and one end. A word is the subwords of its bytes behind a space, by the first RANKS ranks of a
+public byte-level vocabulary, which by themselves are a valid smaller one. The model attends from the last subword of a word
+to the first subwords of this word and of those before it, and to a slot of its own, with weights
+softmax(q[last] . k[first_j] + b[first_j] + pos[t - j]; own[last]), and gives the next word. What a position gives is a
+distribution over words:
+
+- the word before j itself, with the share gate[first_j] (a pointer);
+- else a mixture of FACTORS distributions of first subwords, and with it the word's completion;
+- the slot: first subwords that follow the last subword, and the completion.
+
+The completion of a first subword is the words that begin so, by their counts, and with Witten and Bell's share of kinds a
+spelling by pairs of subwords up to the word's end. Weighted by attention that is a probability over all words.
+
+What the values count is counted over the whole training corpus. q, k, b, pos, own and gate are learned by Adam, with gradients
+in numpy, on all windows of all training documents: each task trains on its own from the same start, and weights are
+averaged by windows.
+
+A text is scored in windows of STRIDE words with CONTEXT words before them, so every token is scored once; windows are batched,
+keys before the text or after the query are masked. Tables that go to tasks are bounded by SIZE squared, DIM and HOT_WORDS;
+counts of all other words are joined, so that no word's count is left out.
 """
 
 from __future__ import annotations
@@ -27,28 +34,28 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
-from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import read_ranks
-from .common import map_arrow, materialise, raw, slices, texts, tokenizer_file
-from .hashtable import HashTable
+from .common import materialise, raw, slices, texts, tokenizer_file
 
-RANKS = 1023
-END, PAD, SIZE = RANKS, RANKS + 1, RANKS + 1  # PAD is no outcome
-EOW = SIZE  # in counts: the word ends here
-STRIDE, CONTEXT = 16, 8
+RANKS = 2047
+END, PAD, SIZE = RANKS, RANKS + 1, RANKS + 1  # END also stands for the start of a text; PAD is no id
+EOW = SIZE  # as a successor: the word ends here
+STRIDE, CONTEXT = 16, 16
 SPAN = STRIDE + CONTEXT
-DIM, FACTORS, ORDER = 8, 8, 3
-BITS = 11  # of an id in a key
+DIM, FACTORS = 8, 8
+LAGS = 8  # words apart whose first subwords are counted together
 BEGIN_WEIGHT = 100.0  # of first subwords as such against what follows a certain last subword
-BACK_OFF = 2.0  # times the kinds of successors of a history: the weight of the shorter history
-ROUNDS, RATE = 2, 0.02
-HOT_WORDS = 500_000  # words whose counts go to every task; all others are joined
+SPELL_WEIGHT = 5.0  # of second subwords as such against what follows a certain subword
+RATE, BATCH, ROUNDS = 0.03, 128, 1
+HOT_WORDS = 600_000  # words whose counts go to every task at most; all others are joined
 END_WORD = b" "  # no word holds a space
 FLUSH = 1_000_000
+CHUNKS = 64  # parts of a table of pairs on its way
 
 
 def held_out() -> Column:
@@ -70,263 +77,306 @@ def word_ids(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(how many ids each word has, the ids of all)."""
     enc = subwords(path).encode_ordinary
     ids = [enc(" " + w.decode()) for w in words]
-    return np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(chain.from_iterable(ids), np.uint16)
+    return np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(chain.from_iterable(ids), np.int32)
+
+
+class Numbers(dict):
+    """A word that is not there gets the next number and is noted."""
+
+    def __init__(self, words: list[bytes]):
+        super().__init__(zip(words, range(len(words)), strict=True))
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        self.fresh.append(word)
+        return n
+
+
+class Block:
+    """Words of some documents. number: of each document's words, END behind each; from `hot` on words beyond the table.
+    first, last: ids by number, END at the end, for number -1; size: tokens of each document."""
+
+    def __init__(self, table: WordTable, docs: list[list[bytes]]):
+        numbers, hot = table.numbers, len(table.first)
+        size = np.fromiter(map(len, docs), np.int64, len(docs))
+        flat = np.fromiter(map(numbers.__getitem__, chain.from_iterable(docs)), np.int64, int(size.sum()))
+        self.fresh, numbers.fresh = numbers.fresh, []
+        for w in self.fresh:
+            del numbers[w]
+        ids = word_ids(table.path, self.fresh)
+        stop = np.cumsum(ids[0])
+        self.first = np.concatenate([table.first, ids[1][stop - ids[0]], [END]])
+        self.last = np.concatenate([table.last, ids[1][stop - 1], [END]])
+        self.ids, self.hot, self.size = ids, hot, size + 1
+        self.number = np.insert(flat, np.cumsum(size), -1)
+
+    def windows(self) -> Windows:
+        return Windows(self)
 
 
 class WordTable:
-    """Numbers and ids of words: those of hot words for good, those of others for a block of documents."""
+    """Numbers, first and last ids of the hot words."""
 
     def __init__(self, path: str, hot: list[bytes]):
-        self.path, self.hot = path, len(hot)
-        self.number = dict(zip(hot, range(len(hot)), strict=True))
-        self.size, self.flat = word_ids(path, hot)
-
-    def block(self, docs: list[list[bytes]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """For each document the numbers of its words (from `hot` on: not a hot word) and its ids with END."""
-        number = self.number
-        fresh = sorted(set().union(*docs) - number.keys())
-        size, flat = self.size, self.flat
-        if fresh:
-            number.update(zip(fresh, range(self.hot, self.hot + len(fresh)), strict=True))
-            more = word_ids(self.path, fresh)
-            size, flat = np.concatenate([size, more[0]]), np.concatenate([flat, more[1]])
+        self.path, self.numbers = path, Numbers(hot)
+        self.ids = word_ids(path, hot)
+        stop = np.cumsum(self.ids[0])
+        self.first, self.last = self.ids[1][stop - self.ids[0]], self.ids[1][stop - 1]
+
+
+class Windows:
+    """A block's tokens in rows of STRIDE; every document starts a row. key, query, seen: windows of first ids, last ids and
+    numbers of what is before each token; outcome: number of each token (-1: the end), place: where each token is."""
+
+    def __init__(self, block: Block):
+        size, n = block.size, len(block.number)
+        rows = -(-size // STRIDE)
+        first = np.cumsum(rows) - rows
         start = np.cumsum(size) - size
-        numbers = [np.fromiter(map(number.__getitem__, d), np.int64, len(d)) for d in docs]
-        for w in fresh:
-            del number[w]
-        out = []
-        for x in numbers:
-            n = size[x]
-            ends = np.cumsum(n)
-            ids = np.empty((int(ends[-1]) if len(n) else 0) + 1, np.int32)
-            ids[:-1] = flat[np.arange(len(ids) - 1) + np.repeat(start[x] - (ends - n), n)]
-            ids[-1] = END
-            out.append(ids)
-        return numbers, out
+        self.place = np.arange(n) + np.repeat(first * STRIDE - start, size)
+        many = int(rows.sum())
+        before = np.empty(n, np.int64)
+        before[1:] = block.number[:-1]
+        before[start] = -1
+        blank = lambda fill, kind: np.full((many, SPAN), fill, kind)
+        self.key, self.seen = blank(PAD, np.int32), blank(-2, np.int32)
+        self.query = np.full((many, STRIDE), PAD, np.int32)
+        own = np.empty(many * STRIDE, np.int32)
+        for out, values, fill in ((self.key, block.first[before], PAD), (self.seen, before, -2)):
+            own[:] = fill
+            own[self.place] = values
+            out[:, CONTEXT:] = own.reshape(many, STRIDE)
+            out[1:, :CONTEXT] = out[:-1, SPAN - CONTEXT :]
+            out[first, :CONTEXT] = fill
+        self.query.reshape(-1)[self.place] = block.last[before]
+        self.seen[self.seen == -1] = -2  # the start is no word to point at
+        self.outcome = np.full((many, STRIDE), -1, np.int32)
+        self.outcome.reshape(-1)[self.place] = block.number
+        self.begin = np.full((many, STRIDE), END, np.int32)
+        self.begin.reshape(-1)[self.place] = block.first[block.number]
+        self.real = np.zeros((many, STRIDE), bool)
+        self.real.reshape(-1)[self.place] = True
 
 
 # the model
 
 
-def backed_off(count: np.ndarray, total: np.ndarray, kinds: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-    """Witten and Bell's smoothing: a history with many kinds of successors trusts the shorter one more."""
-    weight = BACK_OFF * kinds
-    return (count + weight * shorter) / (total + weight)
+@dataclass
+class Tables:
+    """What is counted. begins: SIZE x SIZE, first subwords (or the end) after the last of a word; spell: log10 of SIZE x
+    (SIZE + 1) successors within a word; mixtures (SIZE + 1) x FACTORS, factors SIZE x FACTORS; total, kinds: by first
+    subword the words that begin so, and how many different ones."""
+
+    begins: np.ndarray
+    spell: np.ndarray
+    mixtures: np.ndarray
+    factors: np.ndarray
+    total: np.ndarray
+    kinds: np.ndarray
+
+    def __post_init__(self) -> None:
+        both = self.total + self.kinds
+        # words of known count share the one, spellings the other; where nothing begins so all is spelled
+        with np.errstate(divide="ignore", invalid="ignore"):
+            self.unit = np.where(both > 0, 1 / both, 0.0)
+            self.spelled = np.log10(np.where(both > 0, self.kinds / both, 1.0))
+
+    def spelling(self, size: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """log10 probability of the subwords behind the first, and of the word's end."""
+        if not len(size):
+            return np.zeros(0)
+        to = np.append(ids[1:], 0)
+        stop = np.cumsum(size)
+        to[stop - 1] = EOW
+        return np.add.reduceat(self.spell[ids, to].astype(np.float64), stop - size)
 
 
 @dataclass
-class Attention:
-    """q, k: (SIZE + 1) x DIM, b: SIZE + 1, pos: SPAN are learned.
-
-    after: SIZE x (SIZE + 1), successors within the word or its end; runs: counts by keys of 3 and 4 ids; contexts: number
-    (from 1) by keys without the last id, of rows (total, kinds of successors) in spread; begins: SIZE x SIZE, first subwords of the next word after the last of this one; mixtures
-    (SIZE + 1) x FACTORS and factors FACTORS x SIZE; starts: whether an id begins a word or is the end.
-    """
+class Learned:
+    """q, k: (SIZE + 1) x DIM; b, own, gate: SIZE + 1; pos: SPAN."""
 
     q: np.ndarray
     k: np.ndarray
     b: np.ndarray
+    own: np.ndarray
+    gate: np.ndarray
     pos: np.ndarray
-    after: np.ndarray
-    runs: dict[int, HashTable]
-    contexts: dict[int, HashTable]
-    spread: dict[int, np.ndarray]
-    begins: np.ndarray
-    mixtures: np.ndarray
-    factors: np.ndarray
-    starts: np.ndarray
-
-    def prepare(self) -> None:
-        """Tables with the mask in them: PAD keys and later positions get a weight of zero."""
-        self.rows = np.concatenate([self.q, np.ones((SIZE + 1, 1), np.float32)], 1)
-        b = self.b.copy()
-        b[PAD] = -60.0
-        self.columns = np.concatenate([self.k, b[:, None]], 1)
-        self.lag = np.arange(STRIDE)[:, None] + CONTEXT - np.arange(SPAN)[None, :]
-        self.bias = np.where(self.lag >= 0, self.pos[np.clip(self.lag, 0, SPAN - 1)], -60.0).astype(np.float32)
-        self.outcome = np.ascontiguousarray(self.factors.T)
-
-    def weights(self, x: np.ndarray) -> np.ndarray:
-        """Unnormalised attention (windows, STRIDE, SPAN) for windows of ids (windows, SPAN)."""
-        s = np.matmul(self.rows[x[:, CONTEXT:]], self.columns[x].transpose(0, 2, 1))
+
+    @staticmethod
+    def start(seed: int = 11) -> Learned:
+        rng = np.random.default_rng(seed)
+        small = lambda: (0.1 * rng.standard_normal((SIZE + 1, DIM))).astype(np.float32)
+        flat = lambda x: np.full(SIZE + 1, x, np.float32)
+        return Learned(small(), small(), flat(0), flat(np.log(SPAN / 2)), flat(-2), np.zeros(SPAN, np.float32))
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in vars(self).values()])
+
+    def like(self, flat: np.ndarray) -> Learned:
+        out, at = {}, 0
+        for n, x in vars(self).items():
+            out[n] = flat[at : at + x.size].reshape(x.shape).astype(np.float32)
+            at += x.size
+        return Learned(**out)
+
+
+LAG = np.arange(STRIDE)[:, None] + CONTEXT - np.arange(SPAN)[None, :]
+
+
+class Attention:
+    def __init__(self, tables: Tables, learned: Learned):
+        self.t, self.p = tables, learned
+        self.rows = np.concatenate([learned.q, np.ones((SIZE + 1, 1), np.float32)], 1)
+        b = learned.b.copy()
+        b[PAD] = -np.inf
+        self.columns = np.concatenate([learned.k, b[:, None]], 1)
+        self.bias = np.where(LAG >= 0, learned.pos[np.clip(LAG, 0, SPAN - 1)], -np.inf).astype(np.float32)
+        gate = 1 / (1 + np.exp(-learned.gate))
+        gate[END] = 0  # nothing to point at
+        self.gate = gate.astype(np.float32)
+        self.mixed = (tables.mixtures * (1 - self.gate)[:, None]).astype(np.float32)
+        self.own = np.exp(np.minimum(learned.own, 30))
+
+    def weights(self, key: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unnormalised attention to positions (windows, STRIDE, SPAN) and to the slot (windows, STRIDE)."""
+        s = np.matmul(self.rows[query], self.columns[key].transpose(0, 2, 1))
         s += self.bias
         np.minimum(s, 30.0, out=s)
-        return np.exp(s, out=s)
-
-    def histories(self, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
-        """Probability of y, or of the word's end where y begins a word, after the last 1, 2 and 3 subwords."""
-        now, one, two = (np.minimum(x[:, CONTEXT - d : SPAN - d], END).ravel() for d in range(3))
-        mark = np.where(self.starts[y], EOW, y).ravel()
-        short = self.after[now, mark]
-        out = [short.reshape(y.shape)]
-        # runs lie within a word: where one of its later subwords begins a word there is none
-        at, context = np.arange(len(now)), now.astype(np.uint64)
-        for n, last, more in ((3, now, one), (4, one, two)):
-            at = at[~self.starts[last[at]]]
-            context[at] |= more[at].astype(np.uint64) << np.uint64(BITS * (n - 2))
-            row = self.contexts[n].find(context[at])
-            known, row = at[row > 0], row[row > 0].astype(np.int64) - 1
-            count = self.runs[n].find((context[known] << np.uint64(BITS)) | mark[known].astype(np.uint64))
-            total, kinds = self.spread[n][:, row]
-            short = short.copy()
-            short[known] = backed_off(count, total, kinds, short[known])
-            out.append(short.reshape(y.shape))
-        return out
-
-    def probabilities(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Of the outcomes y (windows, STRIDE). Where x is PAD the value means nothing."""
-        e = self.weights(x)
-        total = e.sum(2)
-        history = self.histories(x, y)
-        n, near, far = len(x), np.zeros_like(total), total.copy()
-        for d, p in enumerate(history):
-            # the weights at lag d, a diagonal of each window
-            own = np.lib.stride_tricks.as_strided(e[:, 0, CONTEXT - d :], (n, STRIDE), (e.strides[0], e.strides[1] + e.strides[2]))
-            near += own * p
-            far -= own
-            own[...] = 0
-        out = near + np.maximum(far, 0) * history[-1]
-        w, r = np.nonzero(self.starts[y])  # only where a word begins do the values differ from plain histories
-        mixed = np.matmul(e, self.mixtures[x])[w, r]
-        begins = np.einsum("nf,nf->n", mixed, self.outcome[y[w, r]])
-        out[w, r] = near[w, r] * self.begins[np.minimum(x[w, CONTEXT + r], END), y[w, r]] + history[-1][w, r] * begins
-        return out / total
-
-    def values(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """(windows, STRIDE, SPAN): the probability that each position gives y."""
-        i = np.arange(STRIDE)
-        history = self.histories(x, y)
-        begin = self.starts[y][:, :, None]
-        far = np.matmul(self.outcome[y], self.mixtures[x].transpose(0, 2, 1))
-        out = np.where(begin, far, 1.0) * history[-1][:, :, None]
-        begins = np.where(self.starts[y], self.begins[np.minimum(x[:, CONTEXT:], END), y], 1.0)
-        for d, p in enumerate(history):
-            out[:, i, CONTEXT - d + i] = p * begins
-        return out
-
-    def score(self, sequences: list[np.ndarray]) -> np.ndarray:
-        """log10 probability of each sequence, which ends with END."""
-        size = np.fromiter(map(len, sequences), np.int64, len(sequences))
-        many = -(-size // STRIDE)
-        # ids in rows of STRIDE: a document starts a row, END stands for what comes before its first token
-        x = np.full((int(many.sum()), STRIDE), PAD, np.int32)
-        y = np.zeros_like(x)
-        first = np.cumsum(many) - many
-        fx, fy = x.reshape(-1), y.reshape(-1)
-        for s, a in zip(sequences, (first * STRIDE).tolist(), strict=True):
-            fx[a] = END
-            fx[a + 1 : a + len(s)] = s[:-1]
-            fy[a : a + len(s)] = s
-        real = fx != PAD
-        windows = np.full((len(x), SPAN), PAD, np.int32)
-        windows[:, CONTEXT:] = x
-        windows[1:, :CONTEXT] = x[:-1, STRIDE - CONTEXT :]
-        windows[first, :CONTEXT] = PAD
-        logs = np.empty(len(x), np.float64)
-        for a in range(0, len(x), 1024):
-            p = self.probabilities(windows[a : a + 1024], y[a : a + 1024])
-            r = real.reshape(x.shape)[a : a + 1024]
-            logs[a : a + 1024] = np.where(r, np.log10(np.where(r, p, 1)), 0).sum(1, dtype=np.float64)
-        return np.add.reduceat(logs, first) if len(first) else np.zeros(0)
-
-
-def windows_of(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """All training windows (x, y) of each text; outcomes that are not there are -1."""
-    sequences = [s for s in sequences if len(s) > 1]
-    many = np.array([-(-(len(s) - 1) // STRIDE) for s in sequences], np.int64)
-    own, y = np.full((int(many.sum()), STRIDE), PAD, np.int32), np.full((int(many.sum()), STRIDE), -1, np.int32)
-    first = np.cumsum(many) - many
-    fx, fy = own.reshape(-1), y.reshape(-1)
-    for s, a, n in zip(sequences, (first * STRIDE).tolist(), (many * STRIDE).tolist(), strict=True):
-        fx[a : a + min(len(s), n)] = s[:n]
-        fy[a : a + len(s) - 1] = s[1:]
-    x = np.full((len(own), SPAN), PAD, np.int32)
-    x[:, CONTEXT:] = own
-    x[1:, :CONTEXT] = own[:-1, STRIDE - CONTEXT :]
-    x[first, :CONTEXT] = PAD
-    return x, y
-
-
-LEARNED = ("q", "k", "b", "pos")
-
-
-def train(model: Attention, x: np.ndarray, y: np.ndarray, rate: float, batch: int = 256, seed: int = 3) -> Attention:
-    """One pass of Adam over the windows; returns a model with new q, k, b and pos."""
-    p = {n: getattr(model, n).copy() for n in LEARNED}
-    m, v = {n: np.zeros_like(a) for n, a in p.items()}, {n: np.zeros_like(a) for n, a in p.items()}
-    order = np.random.default_rng(seed).permutation(len(x))
-    now = replace(model, **p)
-    for step, a in enumerate(range(0, len(order), batch), 1):
-        xb, yb = x[order[a : a + batch]], y[order[a : a + batch]]
-        real = (yb >= 0) & (xb[:, CONTEXT:] != PAD)
-        yb = np.maximum(yb, 0)
-        now.prepare()
-        e = now.weights(xb)
-        e /= e.sum(2, keepdims=True)
-        value = now.values(xb, yb)
-        prob = (e * value).sum(2, keepdims=True)
-        g = -e * (value - prob) / prob * (real[:, :, None] / max(1, real.sum()))
-        g = g.astype(np.float32)
-        own, keys = xb[:, CONTEXT:], xb
-        grad = {n: np.zeros_like(q) for n, q in p.items()}
-        np.add.at(grad["q"], own.ravel(), np.matmul(g, now.k[keys]).reshape(-1, DIM))
-        np.add.at(grad["k"], keys.ravel(), np.matmul(g.transpose(0, 2, 1), now.q[own]).reshape(-1, DIM))
-        grad["b"] = np.bincount(keys.ravel(), g.sum(1).ravel(), SIZE + 1).astype(np.float32)
-        grad["pos"] = np.bincount(np.clip(now.lag, 0, SPAN - 1).ravel(), np.where(now.lag >= 0, g.sum(0), 0).ravel(), SPAN).astype(np.float32)
-        for n in LEARNED:
-            m[n] = 0.9 * m[n] + 0.1 * grad[n]
-            v[n] = 0.99 * v[n] + 0.01 * grad[n] ** 2
-            p[n] -= (rate * (m[n] / (1 - 0.9**step)) / (np.sqrt(v[n] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-            np.clip(p[n], -4, 4, out=p[n])
-    now.prepare()
-    return now
-
-
-def start_model(runs: dict[int, tuple[np.ndarray, np.ndarray]], first: np.ndarray, across: np.ndarray, far: np.ndarray, starts: np.ndarray) -> Attention:
-    """runs: by length 2, 3, 4 the keys of runs within words and their counts; first: counts of first subwords and the end;
-    across, far: SIZE x SIZE counts of pairs of them."""
-    after = np.zeros((SIZE, SIZE + 1))
-    key, n = runs[2]
-    after[key >> BITS, key & ((1 << BITS) - 1)] = n
-    after[END] = 0
-    after[END, EOW] = 1e9  # after the start of the text a word begins, or the end
-    inner = np.append(~starts, True)  # outcomes within a word, and its end
-    back = np.where(inner, after[:END].sum(0) + 0.1, 0)
-    after = np.where(inner, after + 5 * back / back.sum(), 0)
-    after = (after / after.sum(1, keepdims=True)).astype(np.float32)
-    first = np.where(starts, first + 0.1, 0)
-    first = first / first.sum()
-    begins = across * starts + BEGIN_WEIGHT * first
+        return np.exp(s, out=s), self.own[query]
+
+    def masses(self, key: np.ndarray, query: np.ndarray, seen: np.ndarray, begin: np.ndarray, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(probability that a word begins as the outcome does and is completed, probability that it is pointed at)."""
+        e, slot = self.weights(key, query)
+        total = e.sum(2) + slot
+        mixed = np.matmul(e, self.mixed[key])
+        begins = np.einsum("nrf,nrf->nr", mixed, self.t.factors[begin])
+        begins += slot * self.t.begins[np.minimum(query, END), begin]
+        w, r, j = np.nonzero(seen[:, None, :] == outcome[:, :, None])
+        pointed = np.bincount(w * STRIDE + r, e[w, r, j] * self.gate[key[w, j]], total.size).reshape(total.shape)
+        return begins / total, pointed / total
+
+    def score(self, block: Block, log_completion: np.ndarray, log_unit: np.ndarray, log_spelled: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(log10 probability of each document without its words beyond the table, and of those words, in order, the token's
+        place in the block, log10 of what a count of one gives, log10 of what it has without a count)."""
+        x = block.windows()
+        begins, pointed = np.empty(x.query.shape), np.empty(x.query.shape)
+        for a in range(0, len(x.query), 256):
+            s = slice(a, a + 256)
+            begins[s], pointed[s] = self.masses(x.key[s], x.query[s], x.seen[s], x.begin[s], x.outcome[s])
+        begins, pointed = np.log10(begins.reshape(-1)[x.place]), pointed.reshape(-1)[x.place]
+        tail = np.flatnonzero(block.number >= block.hot)
+        lp = begins + log_completion[np.where(block.number < block.hot, block.number, -1)]
+        at = np.flatnonzero(pointed > 0)
+        with np.errstate(divide="ignore"):
+            lp[at] = np.logaddexp(lp[at] * LN10, np.log(pointed[at])) / LN10
+            fresh = block.number[tail] - block.hot
+            base = np.logaddexp((begins[tail] + log_spelled[fresh]) * LN10, np.log(pointed[tail])) / LN10
+        lp[tail] = 0
+        return np.add.reduceat(lp, np.cumsum(block.size) - block.size), tail, begins[tail] + log_unit[fresh], base
+
+
+LN10 = np.log(10.0)
+
+
+def completions(t: Tables, first: np.ndarray, count: np.ndarray, spelling: np.ndarray) -> np.ndarray:
+    """log10 of the share a word of this count and spelling has among those that begin as it does."""
+    return np.log10(count * t.unit[first] + 10.0 ** np.maximum(t.spelled[first] + spelling, -300))
+
+
+def gradients(model: Attention, x: tuple[np.ndarray, ...], completion: np.ndarray, real: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """(mean loss in nats over the real tokens, its gradient by what is learned)."""
+    key, query, seen, begin, outcome = x
+    p, t, many = model.p, model.t, max(1, int(real.sum()))
+    e, slot = model.weights(key, query)
+    total = (e.sum(2) + slot)[:, :, None]
+    e /= total
+    slot = slot / total[:, :, 0]
+    gate = model.gate[key][:, None, :]
+    topic = np.matmul(t.factors[begin], t.mixtures[key].transpose(0, 2, 1))
+    topic *= completion[:, :, None]
+    # value = (1 - gate) topic + gate same
+    same = (seen[:, None, :] == outcome[:, :, None]).astype(np.float32)
+    same -= topic
+    value = topic
+    value += gate * same
+    own = t.begins[np.minimum(query, END), begin] * completion
+    prob = np.maximum((e * value).sum(2) + slot * own, 1e-30)
+    scale = (real / many / prob).astype(np.float32)
+    e *= scale[:, :, None]
+    g_gate = -(e * same).sum(1) * (gate * (1 - gate))[:, 0]
+    value -= prob[:, :, None]
+    value *= e
+    g = np.negative(value, out=value)
+    flat_q, flat_k = query.ravel(), key.ravel()
+    by = lambda ids, v: np.bincount(ids, v, SIZE + 1).astype(np.float32)
+    gq, gk = np.matmul(g, p.k[key]).reshape(-1, DIM), np.matmul(g.transpose(0, 2, 1), p.q[query]).reshape(-1, DIM)
+    grad = {
+        "q": np.stack([by(flat_q, gq[:, d]) for d in range(DIM)], 1),
+        "k": np.stack([by(flat_k, gk[:, d]) for d in range(DIM)], 1),
+        "b": by(flat_k, g.sum(1).ravel()),
+        "own": by(flat_q, (-slot * scale * (own - prob)).ravel()),
+        "gate": by(flat_k, g_gate.ravel()),
+        "pos": np.bincount(np.clip(LAG, 0, SPAN - 1).ravel(), np.where(LAG >= 0, g.sum(0), 0).ravel(), SPAN).astype(np.float32),
+    }
+    grad["gate"][END] = 0
+    return float(-(np.log(prob) * real).sum() / many), grad
+
+
+class Adam:
+    def __init__(self, tables: Tables, learned: Learned, rate: float):
+        self.tables, self.learned, self.rate, self.step = tables, learned, rate, 0
+        self.m = {n: np.zeros_like(v) for n, v in vars(learned).items()}
+        self.v = {n: np.zeros_like(v) for n, v in vars(learned).items()}
+
+    def windows(self, x: Windows, completion: np.ndarray) -> None:
+        """One pass over the windows, in an order of their own."""
+        order = np.random.default_rng(self.step).permutation(len(x.query))
+        for a in range(0, len(order), BATCH):
+            s = order[a : a + BATCH]
+            _, grad = gradients(Attention(self.tables, self.learned), (x.key[s], x.query[s], x.seen[s], x.begin[s], x.outcome[s]), completion[s], x.real[s])
+            self.step += 1
+            out = {}
+            for n, g in grad.items():
+                self.m[n] += 0.1 * (g - self.m[n])
+                self.v[n] += 0.01 * (g * g - self.v[n])
+                rate = self.rate / (1 - 0.9**self.step)
+                new = getattr(self.learned, n) - rate * self.m[n] / (np.sqrt(self.v[n] / (1 - 0.99**self.step)) + 1e-8)
+                out[n] = np.clip(new, -6, 6).astype(np.float32)
+            self.learned = Learned(**out)
+
+
+def build(first: np.ndarray, kinds: np.ndarray, pairs: np.ndarray, across: np.ndarray, far: np.ndarray) -> Tables:
+    """first, kinds: SIZE; pairs: SIZE x (SIZE + 1) of subwords within different words; across, far: SIZE x SIZE."""
+    starts = (first > 0) | (np.arange(SIZE) == END)
+    begin = (first + 0.1) / (first + 0.1).sum()
+    begins = across + BEGIN_WEIGHT * begin
     begins = (begins / begins.sum(1, keepdims=True)).astype(np.float32)
-    tables, contexts, spread = {}, {}, {}
-    for length in (3, 4):
-        key, n = runs[length]
-        tables[length] = HashTable(key, n)
-        context, inverse = np.unique(key >> BITS, return_inverse=True)
-        if len(context) >= 1 << 24:
-            raise ValueError("more contexts of runs than 32-bit floats can number")
-        contexts[length] = HashTable(context, np.arange(1, len(context) + 1))
-        spread[length] = np.stack([np.bincount(inverse, n, len(context)), np.bincount(inverse, minlength=len(context))]).astype(np.float32)
+    back = pairs.sum(0) + 0.1
+    back[END] = 0
+    spell = pairs + SPELL_WEIGHT * back / back.sum()
+    spell[:, END] = 0
+    with np.errstate(divide="ignore"):
+        spell = np.log10(spell / spell.sum(1, keepdims=True)).astype(np.float32)
     rng = np.random.default_rng(11)
-    far = far * starts + 1e-3 * first
-    # expectation maximisation of far[x, y] = sum over f of weight[x, f] factor[f, y]
-    w, f = rng.random((SIZE, FACTORS)) + 0.5, (rng.random((FACTORS, SIZE)) + 0.5) * starts
+    far = far + 1e-3 * begin
+    # expectation maximisation of far[x, y] = sum over f of weight[x, f] factor[f, y], on what begins words
+    at = np.flatnonzero(starts)
+    part = far[np.ix_(at, at)].astype(np.float32)
+    w, f = (rng.random((len(at), FACTORS)) + 0.5).astype(np.float32), (rng.random((FACTORS, len(at))) + 0.5).astype(np.float32)
     w, f = w / w.sum(1, keepdims=True), f / f.sum(1, keepdims=True)
-    for _ in range(60):
-        ratio = far / np.maximum(w @ f, 1e-12)
+    for _ in range(40):
+        ratio = part / np.maximum(w @ f, 1e-12)
         w, f = w * (ratio @ f.T), f * (w.T @ ratio)
         w, f = w / np.maximum(w.sum(1, keepdims=True), 1e-12), f / np.maximum(f.sum(1, keepdims=True), 1e-12)
-    f = 0.98 * f + 0.02 * first
-    w = np.concatenate([0.98 * w / w.sum(1, keepdims=True) + 0.02 / FACTORS, np.full((1, FACTORS), 1 / FACTORS)])
-    pos = np.full(SPAN, -1.0, np.float32)
-    pos[:ORDER] = 0.0, 1.0, 2.0
-    small = lambda: (0.1 * rng.standard_normal((SIZE + 1, DIM))).astype(np.float32)
-    model = Attention(
-        small(), small(), np.zeros(SIZE + 1, np.float32), pos, after, tables, contexts, spread, begins,
-        (w / w.sum(1, keepdims=True)).astype(np.float32), (f / f.sum(1, keepdims=True)).astype(np.float32), starts,
-    )
-    model.prepare()
-    return model
+    factors = np.zeros((FACTORS, SIZE))
+    factors[:, at] = f
+    factors = 0.98 * factors + 0.02 * begin
+    mixtures = np.full((SIZE + 1, FACTORS), 1 / FACTORS)
+    mixtures[at] = 0.98 * w / np.maximum(w.sum(1, keepdims=True), 1e-12) + 0.02 / FACTORS
+    mixtures /= mixtures.sum(1, keepdims=True)
+    factors /= factors.sum(1, keepdims=True)
+    return Tables(begins, spell, mixtures.astype(np.float32), np.ascontiguousarray(factors.T).astype(np.float32), first.astype(np.float64), kinds.astype(np.float64))
 
 
 # what is gathered from the corpus
@@ -356,210 +406,253 @@ def word_counts(train_docs: DataFrame) -> DataFrame:
     return train_docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def samples(train_docs: DataFrame, path: str) -> DataFrame:
-    """ids (binary, 16 bits) of each training document, whole, with END before and behind."""
+FIRST, KINDS, PAIRS, ACROSS, FAR = range(5)
+SHAPES = {FIRST: (SIZE,), KINDS: (SIZE,), PAIRS: (SIZE, SIZE + 1), ACROSS: (SIZE, SIZE), FAR: (SIZE, SIZE)}
+PART = "part int, counts binary"
 
-    def block(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        sequences = WordTable(path, []).block([t.lower().split() for t in raw(batch.column("text"))])[1]
-        out = [np.append(END, s).astype(np.uint16).tobytes() for s in sequences]
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
 
-    return map_arrow(train_docs.select("text"), block, "ids binary")
+class Tally:
+    """Tables of counts in memory, and on their way as packed parts that are summed before they reach the driver."""
 
+    def __init__(self, *kinds: int, most: int = 1 << 22):
+        self.count = {k: np.zeros(int(np.prod(SHAPES[k])), np.int64) for k in kinds}
+        self.held: dict[int, list[np.ndarray]] = {k: [] for k in kinds}
+        self.size, self.most = dict.fromkeys(kinds, 0), most
 
-COUNTED = "kind int, key long, n double"
-ACROSS, FAR, FIRST = 0, 1, 5  # kinds of counts beside the lengths of runs
+    def add(self, kind: int, keys: np.ndarray) -> None:
+        self.held[kind].append(keys)
+        self.size[kind] += len(keys)
+        if self.size[kind] > self.most:
+            self.settle(kind)
 
+    def settle(self, kind: int) -> None:
+        if self.held[kind]:
+            self.count[kind] += np.bincount(np.concatenate(self.held[kind]), minlength=len(self.count[kind]))
+            self.held[kind], self.size[kind] = [], 0
 
-def _counted(kind: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    key, inverse = np.unique(key, return_inverse=True)
-    n = np.bincount(inverse, n, len(key)).astype(np.float64)  # without a key numpy gives integers
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), pa.array(key.astype(np.int64)), pa.array(n)], ["kind", "key", "n"])
+    def parts(self) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdCompressor(level=1)
+        for kind, count in self.count.items():
+            self.settle(kind)
+            rows = [(kind * CHUNKS + i, z.compress(x.astype("<i8").tobytes())) for i, x in enumerate(np.array_split(count, CHUNKS)) if x.any()]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["part", "counts"])
 
 
-def runs_in_words(counts: DataFrame, path: str) -> DataFrame:
-    """Runs of 2 to 4 ids within words, the word's end being the last, weighted by the words' counts over the whole corpus."""
+def summed(parts: DataFrame) -> dict[int, np.ndarray]:
+    """The tables of all tasks together; parts of one place are added on the cluster."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        unzip = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                x = np.frombuffer(unzip.decompress(counts), "<i8")
+                total[part] = total[part] + x if part in total else x
+        z = zstandard.ZstdCompressor(level=1)
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([z.compress(x.tobytes()) for x in total.values()], pa.binary())], ["part", "counts"])
+
+    made = parts.repartition("part").mapInArrow(add, PART).toArrow()
+    out = {k: np.zeros(int(np.prod(s)), np.int64) for k, s in SHAPES.items()}
+    unzip = zstandard.ZstdDecompressor()
+    for part, counts in zip(made.column("part").to_pylist(), made.column("counts").to_pylist(), strict=True):
+        np.array_split(out[part // CHUNKS], CHUNKS)[part % CHUNKS][:] += np.frombuffer(unzip.decompress(counts), "<i8")
+    return {k: out[k].reshape(s) for k, s in SHAPES.items()}
+
+
+def counts_in_words(counts: DataFrame, path: str) -> DataFrame:
+    """Parts of FIRST (weighted by the words' counts), KINDS and PAIRS (every different word once)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally(FIRST, KINDS, PAIRS)
         for batch in batches:
-            words, n = batch.column("word").to_pylist(), batch.column("n").to_numpy().astype(np.float64)
+            words = batch.column("word").to_pylist()
             size, ids = word_ids(path, words)
-            flat = np.insert(ids.astype(np.int64), np.cumsum(size), EOW)
-            own = np.repeat(np.arange(len(words)), size + 1)
-            yield _counted(FIRST, ids[np.cumsum(size) - size].astype(np.int64), n)
-            for length in (2, 3, 4):
-                m = len(flat) - length + 1
-                if m > 0:
-                    at = np.flatnonzero(own[:m] == own[length - 1 :])
-                    key = np.zeros(len(at), np.int64)
-                    for d in range(length):
-                        key = (key << BITS) | flat[at + d]
-                    yield _counted(length, key, n[own[at]])
+            if not len(size):
+                continue
+            stop = np.cumsum(size)
+            first = ids[stop - size]
+            # whole numbers beyond 2^53 would not survive floats: words are counted, not weighed
+            np.add.at(tally.count[FIRST], first, batch.column("n").to_numpy())
+            tally.add(KINDS, first)
+            to = np.append(ids[1:], 0).astype(np.int64)
+            to[stop - 1] = EOW
+            tally.add(PAIRS, ids.astype(np.int64) * (SIZE + 1) + to)
+        yield from tally.parts()
+
+    return counts.filter(F.col("word") != F.lit(END_WORD)).select("word", "n").mapInArrow(run, PART)
+
+
+_tables: dict[str, WordTable] = {}
 
-    return counts.filter(F.col("word") != F.lit(END_WORD)).select("word", "n").mapInArrow(run, COUNTED)
 
+def kept(key: str, path: str, words: list[bytes]) -> WordTable:
+    """One table of hot words for all tasks of a Python worker."""
+    if key not in _tables:
+        _tables.clear()
+        _tables[key] = WordTable(path, words)
+    return _tables[key]
 
-def pairs_in_samples(sampled: DataFrame, starts: np.ndarray) -> DataFrame:
-    """What begins the next word after the last subword of this one, and word starts that follow word starts within the context."""
+
+def blocks(batches: Iterator[pa.RecordBatch], table: WordTable) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]], Block]]:
+    for batch in batches:
+        for part in slices(batch):
+            docs = [t.lower().split() for t in raw(part.column("text"))]
+            if docs:
+                yield part, docs, Block(table, docs)
+
+
+def pairs_in_texts(training: DataFrame, shipped, path: str, key: str) -> DataFrame:
+    """Parts of ACROSS, what begins the next word after the last subword of a word, and of FAR, first subwords LAGS words apart or less."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = {kind: np.zeros(SIZE * SIZE, np.int64) for kind in (ACROSS, FAR)}
-        for part in (part for batch in batches for part in slices(batch, "ids")):
-            across, far = [], []
-            for piece in part.column("ids").to_pylist():
-                s = np.frombuffer(piece, np.uint16).astype(np.int64)
-                at = np.flatnonzero(starts[s])
-                later = at[at > 0]
-                across.append(s[later - 1] * SIZE + s[later])
-                for d in range(1, 7):
-                    a, b = at[:-d], at[d:]
-                    ok = (b - a >= ORDER) & (b - a <= SPAN)
-                    far.append(s[a[ok]] * SIZE + s[b[ok]])
-            for kind, keys in ((ACROSS, across), (FAR, far)):
-                count[kind] += np.bincount(np.concatenate(keys), minlength=SIZE * SIZE)
-        for kind, n in count.items():
-            at = np.flatnonzero(n)
-            yield _counted(kind, (at // SIZE << BITS) | at % SIZE, n[at].astype(np.float64))
-
-    return sampled.select("ids").mapInArrow(run, COUNTED)
-
-
-def begins_word(path: str) -> np.ndarray:
-    """Whether each id begins a word: its bytes start with a space; the end does too."""
-    out = np.zeros(SIZE, bool)
-    for piece, rank in read_ranks(path).items():
-        if rank < RANKS:
-            out[rank] = piece[:1] == b" "
-    out[END] = True
-    return out
-
-
-def learn(counts: DataFrame, sampled: DataFrame, path: str) -> tuple[Attention, Broadcast]:
-    """The model, and the broadcast of its tables, which are the same for all rounds and for scoring; LEARNED goes along by itself."""
-    starts = begins_word(path)
-    summed = materialise(runs_in_words(counts, path).unionByName(pairs_in_samples(sampled, starts)).groupBy("kind", "key").agg(F.sum("n").alias("n")), "runs")
-
-    def take(kind: int) -> tuple[np.ndarray, np.ndarray]:
-        """To the driver: all pairs, of which there are at most (SIZE + 1)^2, and all longer runs, which grow with the kinds of words."""
-        made = summed.filter(F.col("kind") == kind).select("key", "n").toArrow()
-        return made.column("key").to_numpy().astype(np.int64), made.column("n").to_numpy()
-
-    square = {}
-    for kind in (ACROSS, FAR):
-        key, n = take(kind)
-        square[kind] = np.zeros((SIZE, SIZE))
-        square[kind][key >> BITS, key & ((1 << BITS) - 1)] = n
-    first = np.zeros(SIZE)
-    key, n = take(FIRST)
-    first[key] = n
-    first[END] = (counts.filter(F.col("word") == F.lit(END_WORD)).select("n").first() or (0,))[0]
-    model = start_model({length: take(length) for length in (2, 3, 4)}, first, square[ACROSS], square[FAR], starts)
-    shapes = [getattr(model, n).shape for n in LEARNED]
-    tables = sampled.sparkSession.sparkContext.broadcast(model)
-    for r in range(ROUNDS):
-        learned, rate = {n: getattr(model, n) for n in LEARNED}, RATE / (1 + 3 * r)
-
-        def run(batches: Iterator[pa.RecordBatch], learned=learned, rate=rate) -> Iterator[pa.RecordBatch]:
-            """Parts of batches train one after the other; the task's weights leave with the number of windows behind them."""
-            now, seen = replace(tables.value, **learned), 0
-            for part in (part for batch in batches for part in slices(batch, "ids")):
-                x, y = windows_of([np.frombuffer(p, np.uint16) for p in part.column("ids").to_pylist()])
-                if len(x):
-                    now, seen = train(now, x, y, rate), seen + len(x)
-            if seen:
-                flat = np.concatenate([getattr(now, n).ravel() for n in LEARNED]).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * seen), pa.array(np.full(len(flat), float(seen)))], ["at", "w", "n"])
-
-        mean = sampled.select("ids").mapInArrow(run, "at int, w double, n double").groupBy("at").agg((F.sum("w") / F.sum("n")).alias("w")).toArrow()
+        tally = Tally(ACROSS, FAR)
+        for _, _, block in blocks(batches, kept(key, path, shipped.value[0])):
+            first, last = block.first[block.number].astype(np.int64), block.last[block.number].astype(np.int64)
+            start = np.cumsum(block.size) - block.size
+            before = np.empty_like(last)
+            before[1:] = last[:-1]
+            before[start] = END
+            tally.add(ACROSS, before * SIZE + first)
+            left = np.repeat(np.cumsum(block.size), block.size) - np.arange(len(first))  # tokens from here to the document's end
+            for d in range(1, LAGS + 1):
+                at = np.flatnonzero(left[:-d] > d) if d < len(first) else np.zeros(0, np.int64)
+                tally.add(FAR, first[at] * SIZE + first[at + d])
+        yield from tally.parts()
+
+    return training.select("text").mapInArrow(run, PART)
+
+
+def hot_words(counts: DataFrame, most: int) -> pa.Table:
+    """The words above the least count that at most `most` words exceed; counts from 100,000 on are one class."""
+    class_ = F.least("n", F.lit(100_000))
+    words = counts.filter(F.col("word") != F.lit(END_WORD))
+    seen, cut = 0, 0
+    for r in sorted(words.groupBy(class_.alias("c")).count().collect(), key=lambda r: -r["c"]):
+        seen += r["count"]
+        if seen > most:
+            cut = r["c"]
+            break
+    return words.filter(class_ > cut).select("word", "n").toArrow()
+
+
+@dataclass
+class Corpus:
+    """What goes to every task beside the tables: hot words and their counts; tail: the mean count of the others."""
+
+    words: list[bytes]
+    n: np.ndarray
+    tail: float
+
+
+def learn(training: DataFrame, shipped, tables, path: str, key: str, rounds: int = ROUNDS, rate: float = RATE) -> Learned:
+    """q, k, b, own, gate and pos after training on all windows of all training documents."""
+    learned = Learned.start()
+    for r in range(rounds):
+        now, speed = learned, rate / (1 + 3 * r)
+
+        def run(batches: Iterator[pa.RecordBatch], now=now, speed=speed) -> Iterator[pa.RecordBatch]:
+            words, n, tail = shipped.value
+            t, table = tables.value, kept(key, path, words)
+            adam, windows = Adam(t, now, speed), 0
+            hot = 10 ** completions(t, table.first, n, t.spelling(*table.ids))
+            for _, _, block in blocks(batches, table):
+                fresh = 10 ** completions(t, block.first[block.hot : -1], tail, t.spelling(*block.ids))
+                x = block.windows()
+                share = np.concatenate([hot, fresh, [1.0]])[x.outcome].astype(np.float32)
+                adam.windows(x, share)
+                windows += len(x.query)
+            if windows:
+                flat = adam.learned.flat().astype(np.float64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * windows), pa.array(np.full(len(flat), float(windows)))], ["at", "w", "n"])
+
+        mean = training.select("text").mapInArrow(run, "at int, w double, n double").groupBy("at").agg((F.sum("w") / F.sum("n")).alias("w")).toArrow()
         if not mean.num_rows:
             break
-        flat = np.zeros(mean.num_rows, np.float32)
+        flat = np.zeros(mean.num_rows)
         flat[mean.column("at").to_numpy()] = mean.column("w").to_numpy()
-        at = 0
-        parts = {}
-        for name, shape in zip(LEARNED, shapes, strict=True):
-            size = int(np.prod(shape))
-            parts[name] = flat[at : at + size].reshape(shape)
-            at += size
-        model = replace(model, **parts)
-    model.prepare()
-    return model, tables
+        learned = learned.like(flat)
+    return learned
 
 
 # scoring
 
-_tables: dict[str, WordTable] = {}
-
 
-def score(docs: DataFrame, path: str | None = None, hot_words: int = HOT_WORDS) -> DataFrame:
+def score(docs: DataFrame, path: str | None = None, hot_words_: int = HOT_WORDS, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row.
 
-    Null texts count as empty: one token, the end. Rows without a doc_id are training rows. Repeated rows train and score
-    as often as they come. Without training rows the base gives every token probability 1 and the model is untrained.
-    Counts of the `hot_words` commonest words go to every task; the other words of a document leave it as rows that are
-    joined with the counts, so the base is exact for all.
+    Null and empty texts are one token, the end. Rows without a doc_id are training rows. Repeated rows train and score
+    as often as they come. Of a text of any length all tokens are counted, learned from and scored; memory follows the
+    longest single text. Without training rows the base gives every token probability 1 and the model is untrained; an
+    empty table gives no rows. Columns beside doc_id and text are not read, so none can clash.
+    Counts of at most `hot_words_` words go to every task; the other words of a document leave it as rows that are
+    joined with the counts, so the base and the model's completions are exact for all.
     """
     path = path or tokenizer_file("byte_bpe_50k.tiktoken")
+    spark = docs.sparkSession.sparkContext
     rows = texts(docs, held_out().alias("held_out"))
     training = rows.filter(~F.col("held_out"))
     counts = materialise(word_counts(training), "words")
-    sampled = materialise(samples(training, path), "samples")
     n_all, n_distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    model, tables = learn(counts, sampled, path)
-    learned = {n: getattr(model, n) for n in LEARNED}
-    hot = counts.filter(F.col("word") != F.lit(END_WORD)).orderBy(F.desc("n"), "word").limit(hot_words).toArrow()
     ends = (counts.filter(F.col("word") == F.lit(END_WORD)).select("n").first() or (0,))[0]
-    total = n_all + 0.1 * (n_distinct + 1)
-    shipped = docs.sparkSession.sparkContext.broadcast((hot.column("word").to_pylist(), hot.column("n").to_numpy()))
+    hot = hot_words(counts, hot_words_)
+    n_hot = hot.column("n").to_numpy()
+    tail_words = n_distinct - (ends > 0) - len(n_hot)
+    tail_mean = max(0.0, (n_all - ends - float(n_hot.sum())) / tail_words) if tail_words else 0.0
     key = xxhash.xxh64_hexdigest(os.urandom(16))
-    kinds = {"row": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "score": pa.float64(), "word": pa.binary(), "tf": pa.int64()}
+    shipped = spark.broadcast((hot.column("word").to_pylist(), n_hot, tail_mean))
+    made = summed(counts_in_words(counts, path).unionByName(pairs_in_texts(training, shipped, path, key)))
+    made[FIRST][END] = ends
+    tables = spark.broadcast(build(made[FIRST], made[KINDS], made[PAIRS], made[ACROSS], made[FAR]))
+    learned = spark.broadcast(learn(training, shipped, tables, path, key, rounds))
+    total = n_all + 0.1 * (n_distinct + 1)
+    names = ("doc_id", "held_out", "n_tokens", "n_known", "base", "score")
+    kinds = {"row": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "score": pa.float64(), "word": pa.binary(), "unit": pa.float64(), "rest": pa.float64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, n = shipped.value
-        model = replace(tables.value, **learned)
-        model.prepare()
-        if key not in _tables:
-            _tables.clear()
-            _tables[key] = WordTable(path, words)
-        known = _tables[key]
-        logs = np.concatenate([np.log10((n + 0.1) / total), [0.0]])  # the last for words of unknown count
+        words, n, _ = shipped.value
+        t, table = tables.value, kept(key, path, words)
+        model = Attention(t, learned.value)
+        # by number, the end last
+        logs = np.append(np.log10((n + 0.1) / total), np.log10((ends + 0.1) / total))
+        log_completion = np.append(completions(t, table.first, n, t.spelling(*table.ids)), 0.0)
+        with np.errstate(divide="ignore"):
+            log_unit = np.log10(t.unit)
         row = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            for part in slices(batch):
-                docs_ = [t.lower().split() for t in raw(part.column("text"))]
-                numbers, sequences = known.block(docs_)
-                scores = model.score(sequences)
-                cols = {k: [] for k in kinds}
-                for doc, held, words_, x, s in zip(part.column("doc_id").to_pylist(), part.column("held_out").to_pylist(), docs_, numbers, scores.tolist(), strict=True):
-                    row += 1
-                    tail = np.flatnonzero(x >= known.hot)
-                    base = float(logs[np.minimum(x, known.hot)].sum()) + float(np.log10((ends + 0.1) / total))
-                    cols["row"].append(row)
-                    cols["doc_id"].append(doc)
-                    cols["held_out"].append(held)
-                    cols["n_tokens"].append(len(x) + 1)
-                    cols["n_known"].append(len(x) - len(tail) + (ends > 0))
-                    cols["base"].append(base)
-                    cols["score"].append(s)
-                    cols["word"].append(b" %d" % row)  # no word holds a space: it meets no count
-                    cols["tf"].append(0)
-                    for w, tf in Counter([words_[i] for i in tail.tolist()]).items():
-                        cols["row"].append(row)
-                        for c in ("doc_id", "held_out", "n_tokens", "n_known", "base", "score"):
-                            cols[c].append(None)
-                        cols["word"].append(w)
-                        cols["tf"].append(tf)
-                yield pa.RecordBatch.from_arrays([pa.array(cols[k], t) for k, t in kinds.items()], list(kinds))
-
-    flat = rows.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, word binary, tf long")
+        for part, docs_, block in blocks(batches, table):
+            first = block.first[block.hot : -1]
+            scores, tail, unit, rest = model.score(block, log_completion, log_unit[first], t.spelled[first] + t.spelling(*block.ids))
+            start = np.cumsum(block.size) - block.size
+            known = block.number < block.hot
+            base = np.add.reduceat(np.where(known, logs[np.where(known, block.number, -1)], 0.0), start)
+            n_known = np.add.reduceat(known & (block.number >= 0), start) + (ends > 0)
+            of = row + np.arange(len(docs_))
+            own = np.repeat(of, block.size)[tail]
+            nothing = pa.nulls(len(tail))
+            columns = {
+                "row": pa.array(np.concatenate([of, own])), "n_tokens": block.size, "n_known": n_known, "base": base, "score": scores,
+                "word": pa.array([b" %d" % r for r in of.tolist()] + [block.fresh[i] for i in (block.number[tail] - block.hot).tolist()], pa.binary()),  # no word holds a space: a document's own row meets no count
+                "unit": pa.array(np.concatenate([np.zeros(len(of)), unit])), "rest": pa.array(np.concatenate([np.zeros(len(of)), rest])),
+            }
+            for c in names:
+                head = part.column(c) if c in ("doc_id", "held_out") else pa.array(columns[c], kinds[c])
+                columns[c] = pa.concat_arrays([head, nothing.cast(kinds[c])])
+            row += len(docs_)
+            yield pa.RecordBatch.from_arrays([columns[k].cast(x) for k, x in kinds.items()], list(kinds))
+
+    flat = rows.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, word binary, unit double, rest double")
     joined = flat.join(counts, "word", "left").withColumn("c", F.coalesce("n", F.lit(0)))
-    tail = F.col("tf") * F.log10((F.col("c") + 0.1) / F.lit(float(total)))
+    tail = F.col("n_tokens").isNull()
+    # log10(unit * c + rest), both kept as logarithms: spellings of long words are beyond doubles
+    low, high = F.least(F.col("unit") + F.log10("c"), F.col("rest")), F.greatest(F.col("unit") + F.log10("c"), F.col("rest"))
+    own = F.when(F.col("c") > 0, high + F.log10(1 + F.pow(F.lit(10.0), low - high))).otherwise(F.col("rest"))
     return joined.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"),
         F.coalesce(F.max("held_out"), F.lit(False)).alias("held_out"),
         F.max("n_tokens").alias("n_tokens"),
-        (F.max("n_known") + F.coalesce(F.sum(F.when(F.col("c") > 0, F.col("tf"))), F.lit(0))).alias("n_known"),
+        (F.max("n_known") + F.sum((tail & (F.col("c") > 0)).cast("long"))).alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"),
-        (F.max("base") + F.sum(F.when(F.col("tf") > 0, tail).otherwise(0.0))).alias("base_score"),
-        F.max("score").alias("score"),
+        (F.max("base") + F.sum(F.when(tail, F.log10((F.col("c") + 0.1) / F.lit(float(total)))).otherwise(0.0))).alias("base_score"),
+        (F.max("score") + F.sum(F.when(tail, own).otherwise(0.0))).alias("score"),
     ).drop("row")
