@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, raw, slices, texts
+from .common import forget, materialise, raw, slices, texts
 from .wordhash import powers
 
 MIN_BYTES, GRAM = 200, 24
@@ -195,57 +195,62 @@ def repeated_starts(segments: list[bytes], depth: int = MIN_BYTES) -> np.ndarray
 
 # on the cluster
 
-OCCURRENCE = "anchor long, digest long, doc_id long, tkey int, start int, windows int, more binary"
+OCCURRENCE = "anchor long, digest long, row long, start int, windows int, more binary"
 
 
-def occurrences(docs: DataFrame, min_bytes: int) -> DataFrame:
-    """Runs of all documents; equal runs of one document are one row, whose `more` has the further starts."""
-    names = ["anchor", "digest", "doc_id", "tkey", "start", "windows", "more"]
+def pack(docs: DataFrame) -> DataFrame:
+    """row, doc_id, z: texts packed, each under a number of its own. To be written before it is read: the numbers of a plan
+    that runs again may differ."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for part in slices(batch):
-                cols: list[list] = [[] for _ in range(5)]
-                more: list[bytes | None] = []
-                for doc, tkey, text in zip(part.column("doc_id").to_pylist(), part.column("tkey").to_pylist(), raw(part.column("text")), strict=True):
-                    start, many, anchor = runs(text, min_bytes)
-                    if not len(start):
-                        continue
-                    digest = np.fromiter((xxhash.xxh64_intdigest(text[a:b]) for a, b in zip(start.tolist(), (start + many + min_bytes - 1).tolist(), strict=True)), np.uint64, len(start))
-                    order = np.lexsort((start, digest, anchor))
-                    d, a = digest[order], anchor[order]
-                    head = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (a[1:] != a[:-1])]))
-                    one = order[head]
-                    cols[0].append(anchor[one].view(np.int64))
-                    cols[1].append(digest[one].view(np.int64))
-                    cols[2].append((doc, tkey, len(one)))
-                    cols[3].append(start[one].astype(np.int32))
-                    cols[4].append(many[one].astype(np.int32))
-                    if len(one) == len(order):
-                        more += [None] * len(one)
-                    else:
-                        for x, y in zip(head.tolist(), [*head[1:].tolist(), len(order)], strict=True):
-                            more.append(start[order[x + 1 : y]].astype("<i4").tobytes() if y - x > 1 else None)
-                if cols[0]:
-                    ids = [doc for doc, _, n in cols[2] for _ in range(n)]
-                    tk = np.repeat(np.array([t for _, t, _ in cols[2]], np.int32), [n for _, _, n in cols[2]])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(cols[0])), pa.array(np.concatenate(cols[1])), pa.array(ids, pa.int64()), pa.array(tk), pa.array(np.concatenate(cols[3])), pa.array(np.concatenate(cols[4])), pa.array(more, pa.binary())], names
-                    )
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), pa.array([z.compress(t) for t in raw(part.column("text"))], pa.binary())], ["row", "doc_id", "z"])
 
-    return docs.mapInArrow(run, OCCURRENCE)
+    return texts(docs, F.monotonically_increasing_id().alias("row")).mapInArrow(run, "row long, doc_id long, z binary")
 
 
-def pack(docs: DataFrame) -> DataFrame:
-    """doc_id, tkey, z: texts packed before they are shuffled."""
+def occurrences(packed: DataFrame, min_bytes: int) -> DataFrame:
+    """Runs of all documents; equal runs of one document are one row, whose `more` has the further starts."""
+    names = ["anchor", "digest", "row", "start", "windows", "more"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            for part in slices(batch):
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tkey"), pa.array([z.compress(t) for t in raw(part.column("text"))], pa.binary())], ["doc_id", "tkey", "z"])
+        unzip = zstandard.ZstdDecompressor()
+        cols: list[list[np.ndarray]] = [[] for _ in range(5)]
+        more: list[bytes | None] = []
+
+        def made() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c)) for c in cols), pa.array(more, pa.binary())], names)
+            for c in cols:
+                c.clear()
+            more.clear()
+            return out
 
-    return docs.mapInArrow(run, "doc_id long, tkey int, z binary")
+        for batch in batches:
+            for row, z in zip(batch.column("row").to_pylist(), batch.column("z"), strict=True):
+                text = unzip.decompress(z.as_buffer())
+                start, many, anchor = runs(text, min_bytes)
+                if not len(start):
+                    continue
+                digest = np.fromiter((xxhash.xxh64_intdigest(text[a:b]) for a, b in zip(start.tolist(), (start + many + min_bytes - 1).tolist(), strict=True)), np.uint64, len(start))
+                order = np.lexsort((start, digest, anchor))
+                d, a = digest[order], anchor[order]
+                head = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (a[1:] != a[:-1])]))
+                one = order[head]
+                for c, x in zip(cols, (anchor[one].view(np.int64), digest[one].view(np.int64), np.full(len(one), row, np.int64), start[one].astype(np.int32), many[one].astype(np.int32)), strict=True):
+                    c.append(x)
+                if len(one) == len(order):
+                    more += [None] * len(one)
+                else:
+                    for x, y in zip(head.tolist(), [*head[1:].tolist(), len(order)], strict=True):
+                        more.append(start[order[x + 1 : y]].astype("<i4").tobytes() if y - x > 1 else None)
+                if len(more) > 20_000:
+                    yield made()
+        if more:
+            yield made()
+
+    return packed.select("row", "z").mapInArrow(run, OCCURRENCE)
 
 
 def split_segment(segment: bytes, min_bytes: int) -> Iterator[tuple[int, int, int]]:
@@ -295,10 +300,8 @@ def segments(packed: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFrame:
     def made(out: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["key", "anchor", "digest", "at", "twice", "bytes"])
 
-    picks = wanted.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("anchor", "digest", "start", "windows", "twice", "big")).alias("picks"))
-    joined = packed.join(picks, (packed.doc_id.eqNullSafe(picks.doc_id)) & (packed.tkey == picks.tkey)).select("z", "picks")
-    # of repeated rows one is enough, but more do no harm: shards see each class once
-    return joined.mapInArrow(run, "key long, anchor long, digest long, at int, twice boolean, bytes binary")
+    picks = wanted.groupBy("row").agg(F.collect_list(F.struct("anchor", "digest", "start", "windows", "twice", "big")).alias("picks"))
+    return packed.select("row", "z").join(picks, "row").select("z", "picks").mapInArrow(run, "key long, anchor long, digest long, at int, twice boolean, bytes binary")
 
 
 def solve(pieces: DataFrame, shards: int, min_bytes: int) -> DataFrame:
@@ -361,27 +364,29 @@ def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, with_text: bool
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with `with_text` kept (binary), for every row.
 
     Each byte covered by a string of `min_bytes` bytes that starts anywhere else too, in the same document or another, is
-    removed; strings are judged on the input and never cross documents. Null texts count as empty. Rows that agree in
-    doc_id and text are different places: each holds the other's strings.
+    removed; strings are judged on the input and never cross documents. Null texts count as empty; texts of any length are
+    taken whole. Rows are told apart by a number of their own, so null and repeated doc_ids stay as they are, and rows that
+    agree in everything are different places: each holds the other's strings. An empty table gives no rows. Columns beside
+    doc_id and text are not read, so none can clash.
     """
-    rows = texts(docs).withColumn("tkey", F.hash("text"))
-    found = occurrences(rows, min_bytes)
-    repeated = found.groupBy("anchor").agg(F.sum(1 + F.coalesce(F.length("more") / 4, F.lit(0)).cast("long")).alias("n")).filter("n > 1").select("anchor")
+    packed = materialise(pack(docs), "packed")
+    found = materialise(occurrences(packed, min_bytes), "runs")
+    places = F.sum(1 + F.coalesce(F.length("more") / 4, F.lit(0)).cast("long"))
+    repeated = found.groupBy("anchor").agg(places.alias("n")).filter("n > 1").select("anchor")
     occ = materialise(found.join(repeated, "anchor", "left_semi"), "occurrences")
-    classes = occ.groupBy("anchor", "digest").agg(
-        (F.sum(1 + F.coalesce(F.length("more") / 4, F.lit(0)).cast("long")) > 1).alias("twice"), F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "tkey", "start", "windows")).alias("one")
-    )
-    classes = materialise(classes.select("anchor", "digest", "twice", F.col("one.doc_id").alias("doc_id"), F.col("one.tkey").alias("tkey"), F.col("one.start").alias("start"), F.col("one.windows").alias("windows")), "classes")
+    forget(found)
+    classes = occ.groupBy("anchor", "digest").agg((places > 1).alias("twice"), F.min(F.struct("row", "start", "windows")).alias("one"))
+    classes = materialise(classes.select("anchor", "digest", "twice", F.col("one.row").alias("row"), F.col("one.start").alias("start"), F.col("one.windows").alias("windows")), "classes")
     open_ = classes.join(classes.filter(~F.col("twice")).select("anchor").distinct(), "anchor", "left_semi")
     weight = F.sum((F.col("windows") + min_bytes).cast("long"))
     big = open_.groupBy("anchor").agg(weight.alias("bytes")).filter(F.col("bytes") > BIG_ANCHOR).select("anchor", F.lit(True).alias("big"))
     total = open_.agg(weight).first()[0] or 0
     wanted = open_.join(big, "anchor", "left").withColumn("big", F.coalesce("big", F.lit(False)))
-    packed = pack(rows)
     whole = classes.filter("twice").select("anchor", "digest", F.lit(0).alias("at"), F.col("windows").alias("many"), F.lit(None).cast("binary").alias("bits"))
     bits = materialise(solve(segments(packed, wanted, min_bytes), max(1, -(-int(total) // (4 * SHARD_BYTES))), min_bytes).unionByName(whole), "bits")
-    marks = occ.join(bits, ["anchor", "digest"]).select("doc_id", "tkey", F.struct("start", "more", "at", "many", "bits").alias("mark"))
-    marks = marks.groupBy("doc_id", "tkey").agg(F.collect_list("mark").alias("marks"))
+    forget(classes)
+    marks = occ.join(bits, ["anchor", "digest"]).select("row", F.struct("start", "more", "at", "many", "bits").alias("mark"))
+    marks = marks.groupBy("row").agg(F.collect_list("mark").alias("marks"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
@@ -404,6 +409,6 @@ def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, with_text: bool
                 out.append((doc, len(text), len(text) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(), rest if with_text else None))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    joined = packed.join(marks, (packed.doc_id.eqNullSafe(marks.doc_id)) & (packed.tkey == marks.tkey), "left").select(packed.doc_id, "z", "marks")
+    joined = packed.join(marks, "row", "left").select("doc_id", "z", "marks")
     made = joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return made if with_text else made.drop("kept")

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from editloom.llm import suffix
 
@@ -85,6 +86,16 @@ def test_query_equals_brute_force(spark, docs, monkeypatch):
     assert [got[r["doc_id"]] for r in rows] == want and sum(w[1] for w in want) > 1000
 
 
+def test_texts_of_one_hash_and_no_ids_are_told_apart(spark):
+    rng = random.Random(9)
+    head = "".join(rng.choices("abcdefgh ", k=230))
+    two = spark.range(400_000).selectExpr(f"concat('{head}', id) AS text", f"hash(concat('{head}', id)) AS h").groupBy("h").agg(F.collect_list("text").alias("t")).filter("size(t) > 1").limit(2).collect()
+    assert two
+    texts = [t for r in two for t in r["t"]] + ["".join(rng.choices("xyz", k=500))]
+    got = sorted(tuple(r)[1:] for r in suffix.remove_repeats(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")).collect())
+    assert got == sorted(plain([t.encode() for t in texts], 200))
+
+
 def test_edge_rows(spark, edge_docs, no_docs):
     rows = edge_docs.collect()
     got = sorted((tuple(r) for r in suffix.remove_repeats(edge_docs).collect()), key=repr)
