@@ -2,10 +2,12 @@
 
 A sketch is a DDSketch: counts of logarithmic buckets, here one row a bucket, so that merging is adding and partial sketches
 combine before the shuffle. Its quantiles are within ALPHA of the true ones, relatively, and do not depend on the order of
-rows. Groups of fewer than MIN_GROUP documents take the merged sketch of their language, and that failing the one of all.
+rows. The quantiles of a group of n documents are drawn towards those of its language, and these towards those of all, with
+the weight of PRIOR documents to n: a small group hardly has thresholds of its own, a large one nothing else.
 
-A document fails if a measure leaves the fence median + REACH * (upper quartile - median), or below for two-sided measures,
-where a fence never comes nearer than the measure's LEAST, so that a group of equal values rejects nothing ordinary.
+The fence of a measure lies REACH times the distance of the OUTER quantile from the median beyond the median; no part of it
+is fixed. A document fails if a measure leaves its fence by more than NOISE standard deviations of what counting in a text
+of its length can do: that of a Poisson count for shares, of a mean of exponential lengths for the length of words.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_arrow, materialise, texts
@@ -23,16 +25,16 @@ from .common import map_arrow, materialise, texts
 ALPHA = 0.01
 GAMMA = (1 + ALPHA) / (1 - ALPHA)
 TINY = 1e-6
-MIN_GROUP, REACH = 30, 8.0
+PRIOR, OUTER, REACH, NOISE = 200.0, 0.85, 12.0, 4.0
 MIN_WORDS, MAX_REPEAT = 50, 0.5
-#: measure -> (least distance of the upper fence above the median, of the lower one below or None)
+#: measure -> (count, what it is a share of)
 MEASURES = {
-    "symbols": (0.03, None),  # symbols a word character
-    "duplicate_lines": (0.5, None),  # repeated lines a line with a word
-    "repeats": (0.25, None),  # words in repeated 3-word windows
-    "capitals": (0.2, None),  # A-Z a word character
-    "exclamations": (0.03, None),  # ! and ? a word character
-    "word_length": (3.0, 2.5),
+    "symbols": ("n_symbols", "word_chars"),
+    "duplicate_lines": ("n_dup_lines", "n_lines"),
+    "repeats": ("n_repeat_words", "n_words"),
+    "capitals": ("n_capitals", "word_chars"),
+    "exclamations": ("n_exclamations", "word_chars"),
+    "word_length": ("word_chars", "n_words"),  # no share: two-sided
 }
 SPACES = " \t\n\x0b\x0c\r"
 CAPITALS = bytes(range(65, 91))
@@ -99,17 +101,7 @@ def measure(docs: DataFrame) -> DataFrame:
 
 
 def with_measures(counted: DataFrame) -> DataFrame:
-    share = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
-    return counted.withColumns(
-        {
-            "symbols": share("n_symbols", "word_chars"),
-            "duplicate_lines": share("n_dup_lines", "n_lines"),
-            "repeats": share("n_repeat_words", "n_words"),
-            "capitals": share("n_capitals", "word_chars"),
-            "exclamations": share("n_exclamations", "word_chars"),
-            "word_length": share("word_chars", "n_words"),
-        }
-    )
+    return counted.withColumns({m: F.col(a) / F.greatest(F.col(b), F.lit(1)) for m, (a, b) in MEASURES.items()})
 
 
 def sketches(measured: DataFrame) -> DataFrame:
@@ -120,48 +112,46 @@ def sketches(measured: DataFrame) -> DataFrame:
 
 
 def quantiles(sketch: DataFrame, *by: str) -> DataFrame:
-    """Median and upper and lower quartile of each sketch after merging it by the given columns. A sketch has at most a few
-    thousand buckets, so the window over one is small."""
+    """Documents, median and both outer quantiles of each sketch after merging it by the given columns. A sketch has at most
+    a few thousand buckets, so the window over one is small."""
     merged = sketch.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by, "measure")
     upto = F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
     ranked = merged.select(*by, "measure", "bucket", "n", upto.alias("upto"), F.sum("n").over(group).alias("total"))
     value = F.when(F.col("bucket") == -(2**31), 0.0).otherwise(2 * F.pow(F.lit(GAMMA), F.col("bucket")) / (GAMMA + 1))
     at = lambda q: F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * q), value))
-    return ranked.groupBy(*by, "measure").agg(F.max("total").alias("n"), at(0.25).alias("q25"), at(0.5).alias("q50"), at(0.75).alias("q75"))
+    return ranked.groupBy(*by, "measure").agg(F.max("total").alias("n"), at(1 - OUTER).alias("low"), at(0.5).alias("mid"), at(OUTER).alias("high"))
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
-    """lang, source and <measure>_low, <measure>_high for each group."""
+    """lang, source and <measure>_low, _mid, _high for each group: both fences and the median."""
     own, of_lang, of_all = quantiles(sketch, "lang", "source"), quantiles(sketch, "lang"), quantiles(sketch)
     prefix = lambda df, p: df.select(*(F.col(c).alias(c if c in ("lang", "source", "measure") else p + c) for c in df.columns))
     rows = prefix(own, "a_").join(prefix(of_lang, "b_"), ["lang", "measure"]).join(F.broadcast(prefix(of_all, "c_")), "measure")  # one row a measure
-    pick = lambda q: F.when(F.col("a_n") >= MIN_GROUP, F.col(f"a_{q}")).when(F.col("b_n") >= MIN_GROUP, F.col(f"b_{q}")).otherwise(F.col(f"c_{q}"))
-    rows = rows.select("lang", "source", "measure", pick("q25").alias("q25"), pick("q50").alias("q50"), pick("q75").alias("q75"))
-    out = []
-    for m, (up, down) in MEASURES.items():
-        only = F.col("measure") == m
-        out.append(F.max(F.when(only, F.col("q50") + F.greatest(F.lit(up), REACH * (F.col("q75") - F.col("q50"))))).alias(f"{m}_high"))
-        if down is not None:
-            out.append(F.max(F.when(only, F.col("q50") - F.greatest(F.lit(down), REACH * (F.col("q50") - F.col("q25"))))).alias(f"{m}_low"))
-    return rows.groupBy("lang", "source").agg(*out)
+    drawn = lambda n, x, y: (F.col(n) * x + PRIOR * y) / (F.col(n) + PRIOR)
+    rows = rows.select("lang", "source", "measure", *(drawn("a_n", F.col(f"a_{q}"), drawn("b_n", F.col(f"b_{q}"), F.col(f"c_{q}"))).alias(q) for q in ("low", "mid", "high")))
+    fences = {"low": F.col("mid") - REACH * (F.col("mid") - F.col("low")), "mid": F.col("mid"), "high": F.col("mid") + REACH * (F.col("high") - F.col("mid"))}
+    return rows.groupBy("lang", "source").agg(*(F.max(F.when(F.col("measure") == m, x)).alias(f"{m}_{q}") for m in MEASURES for q, x in fences.items()))
+
+
+def leaves_fence(measure: str) -> Column:
+    count, size = (F.col(c) for c in MEASURES[measure])
+    low, mid, high = (F.col(f"{measure}_{q}") for q in ("low", "mid", "high"))
+    if measure == "word_length":
+        noise = NOISE * mid / F.sqrt(F.greatest(size, F.lit(1)))
+        return (F.col(measure) > high + noise) | (F.col(measure) < low - noise)
+    return count > high * size + NOISE * F.sqrt(high * size + 1)
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed, kept and the name of the first measure that leaves its fence, for every row.
 
-    Null texts count as empty and fail the base rule; null languages and sources are a group like others. Repeated rows
-    count as often as they come.
+    Null and empty texts have no words and fail the base rule; texts of any length are counted whole. Null languages and
+    sources are a group like others. Repeated rows count as often as they come, and rows of one doc_id or none stay as they
+    are. An empty table gives no rows. Columns beside doc_id, text, lang and source are not read, so none can clash.
     """
     measured = with_measures(materialise(measure(docs), "measures"))
-    limits = thresholds(sketches(measured))
-    rows = measured.join(limits, ["lang", "source"])
-    reasons = []
-    for m, (_, down) in MEASURES.items():
-        out = F.col(m) > F.col(f"{m}_high")
-        if down is not None:
-            out |= F.col(m) < F.col(f"{m}_low")
-        reasons.append(F.when(out, F.lit(m)))
+    rows = measured.join(thresholds(sketches(measured)), ["lang", "source"])
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 100 * MAX_REPEAT * F.col("n_words"))
-    reason = F.when(failed, F.lit("base")).otherwise(F.coalesce(*reasons))
+    reason = F.when(failed, F.lit("base")).otherwise(F.coalesce(*(F.when(leaves_fence(m), F.lit(m)) for m in MEASURES)))
     return rows.select("doc_id", *COUNTS[:5], failed.alias("base_failed"), reason.isNull().alias("kept"), reason.alias("reason"))
