@@ -6,8 +6,8 @@ its class. A document that holds a share t of an item lacks fewer shingles than
 sketch: the search loses nothing, however short the item and long the document. Documents that hold a sketch hash are
 verified by the exact shingles of the item.
 
-The index of the items goes to the tasks. Its size is bounded: items come in blocks of at most BLOCK_ITEMS, one pass over
-the documents a block; documents never leave their task.
+The index of the items goes to the tasks. Its size is bounded: different item texts come in blocks of about BLOCK_BYTES bytes
+of text, one pass over the documents a block; documents never leave their task.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from .common import map_arrow, raw, texts
 from .wordhash import Words
 
-BLOCK_ITEMS = 20_000
+THRESHOLD, SHINGLE = 0.8, 5
+BLOCK_BYTES, BUCKETS = 3_000_000, 4096
 FILTER_BITS = 20
 
 
@@ -46,7 +47,7 @@ class Screen:
 class ContainmentIndex:
     """Items by shingle size (`shingle` words, or all words of a shorter item) and by size class."""
 
-    def __init__(self, items: list[tuple[int | None, bytes]], threshold: float = 0.8, shingle: int = 5):
+    def __init__(self, items: list[tuple[str, bytes]], threshold: float = THRESHOLD, shingle: int = SHINGLE):
         self.threshold, self.item_ids = threshold, [i for i, _ in items]
         words = Words([t for _, t in items])
         h = words.hashes()
@@ -105,34 +106,52 @@ class ContainmentIndex:
         return [sorted(x) for x in out]
 
 
-def indexes(items: DataFrame, threshold: float, shingle: int, block: int = BLOCK_ITEMS) -> Iterator[ContainmentIndex]:
-    """Indexes of at most about `block` items each; rows without text are left out."""
-    rows = items.filter("text is not null").select("item_id", "text")
-    many = max(1, -(-rows.count() // block))
-    for k in range(many):
-        part = rows if many == 1 else rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(many)) == k)
-        own = sorted(((r["item_id"], r["text"].encode()) for r in part.toLocalIterator()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+def keyed(items: DataFrame) -> DataFrame:
+    """key (of the text), text; rows without text are left out."""
+    return items.filter("text is not null").select(F.md5("text").alias("key"), "text")
+
+
+def indexes(items: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, block: int = BLOCK_BYTES) -> Iterator[ContainmentIndex]:
+    """Indexes of about `block` bytes of different texts each, by key; one at least. Repeated texts are one item of an index.
+
+    Texts are dealt to BUCKETS by hash, and the driver, which sees a size for each, joins neighbours up to the bound; a
+    bucket beyond it, which needs a text or many of that size, is a block by itself.
+    """
+    rows = keyed(items).distinct().withColumn("bucket", F.pmod(F.xxhash64("text"), F.lit(BUCKETS)))
+    sizes = sorted(rows.groupBy("bucket").agg(F.sum(F.octet_length("text"))).collect())
+    bounds, held = [0], 0
+    for bucket, size in sizes:
+        if held and held + size > block:
+            bounds.append(bucket)
+            held = 0
+        held += size
+    for a, b in zip(bounds, [*bounds[1:], BUCKETS], strict=True):
+        part = rows.filter(F.col("bucket").between(a, b - 1)).select("key", "text").toArrow()
+        own = sorted(zip(part.column("key").to_pylist(), (t.encode() for t in part.column("text").to_pylist()), strict=True))
         yield ContainmentIndex(own, threshold, shingle)
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, block: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, item_id, n_shingles, n_shared, containment: every document and test item it holds to the threshold or more.
 
     Words are lower-cased; items of fewer words than a shingle are one shingle. Null, empty and wordless texts hold
-    nothing and lie in nothing. Repeated documents and items each give their rows.
+    nothing and lie in nothing; texts of any length are searched whole. Repeated documents and items each give their rows,
+    and null ids stay. An empty table on either side gives no rows. Columns beside ids and texts are not read, so none can
+    clash.
     """
-    schema = "doc_id long, item_id long, n_shingles long, n_shared long"
+    schema = "doc_id long, key string, n_shingles long, n_shared long"
     out = None
-    for index in indexes(items, threshold, shingle):
+    for index in indexes(items, threshold, shingle, block):
         shipped = docs.sparkSession.sparkContext.broadcast(index)
 
-        def block(batch: pa.RecordBatch, shipped=shipped) -> Iterator[pa.RecordBatch]:
+        def block_(batch: pa.RecordBatch, shipped=shipped) -> Iterator[pa.RecordBatch]:
             index, ids, rows = shipped.value, batch.column("doc_id").to_pylist(), []
             for doc, found in zip(ids, index.search(raw(batch.column("text"))), strict=True):
                 rows += [(doc, index.item_ids[i], int(index.n[i]), n) for i, n in found]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "item_id", "n_shingles", "n_shared"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "key", "n_shingles", "n_shared"])
 
-        part = map_arrow(texts(docs), block, schema)
+        part = map_arrow(texts(docs), block_, schema)
         out = part if out is None else out.unionByName(part)
-    return out.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+    named = items.filter("text is not null").select("item_id", F.md5("text").alias("key"))
+    return out.join(named, "key").select("doc_id", "item_id", "n_shingles", "n_shared", (F.col("n_shared") / F.col("n_shingles")).alias("containment"))

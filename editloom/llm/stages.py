@@ -42,7 +42,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item to SIMILARITY of its shingles or more."""
-    for index in decontam.indexes(table(spark, sf_dir, "benchmark"), SIMILARITY, 5):
+    for index in decontam.indexes(table(spark, sf_dir, "benchmark"), SIMILARITY):
         shipped = spark.sparkContext.broadcast(index)
         docs = keep_rows(docs, lambda texts, shipped=shipped: [not x for x in shipped.value.search(texts)])
     return docs

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 from editloom.llm import decontam
 
@@ -38,18 +39,15 @@ def test_equals_brute_force(spark, docs):
     assert {tuple(r)[:4] for r in got} == want and len(want) > 30
 
 
-def test_blocks_of_items_give_the_same(spark, docs, monkeypatch):
+def test_blocks_of_items_give_the_same(spark, docs):
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
-    one = {tuple(r) for r in decontam.contaminated(docs, items).collect()}
-    monkeypatch.setattr(decontam, "indexes", lambda i, t, s: _small(i, t, s))
-    assert {tuple(r) for r in decontam.contaminated(docs, items).collect()} == one
-
-
-_real = decontam.indexes
-
-
-def _small(items, threshold, shingle):
-    return _real(items, threshold, shingle, block=7)
+    items = items.union(items.limit(3)).select("item_id", "text")
+    one = Counter(tuple(r) for r in decontam.contaminated(docs, items).collect())
+    size = sum(len(t.encode()) for t in {r["text"] for r in items.collect()})
+    blocks = list(decontam.indexes(items, block=size // 5))
+    assert len(blocks) >= 5 and sum(len(b.item_ids) for b in blocks) == items.select("text").distinct().count()
+    assert Counter(tuple(r) for r in decontam.contaminated(docs, items, block=size // 5).collect()) == one
+    assert max(one.values()) == 1 or len(one) < sum(one.values())
 
 
 def test_edges(spark, edge_docs, no_docs):
