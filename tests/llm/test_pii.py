@@ -38,6 +38,10 @@ def test_scored_kinds():
     kinds = lambda t: [s[0] for s in pii.find(t)]
     assert kinds("IBAN DE89 3704 0044 0532 0130 00 please") == ["iban"]
     assert kinds("IBAN DE88 3704 0044 0532 0130 00 please") == []
+    found = lambda t: [t[a:b] for k, a, b, _ in pii.find(t) if k == "iban"]
+    assert found("IBAN BE68 5390 0754 7034 CALL ME") == found("iban BE68 5390 0754 7034 call me") == ["BE68 5390 0754 7034"]
+    assert found("IBAN BE68539007547034 DE89 3704 0044 0532 0130 00 END") == ["BE68539007547034", "DE89 3704 0044 0532 0130 00"]
+    assert found("IBAN BE68 5390 0754 70345") == [] and found("BE68 5390 0754 7034X") == []
     assert kinds("call 743 555-3824 now") == ["phone_local"] and kinds("part 743 555-3824 now") == []
     assert kinds("ssn 123-45-6789") == ["ssn"] and kinds("item 123-45-6789") == []
     assert kinds("api_key = 'ab12cd34ef56'") == ["secret"] and kinds("token: something") == []
