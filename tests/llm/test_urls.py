@@ -1,4 +1,9 @@
+import math
+import random
 import re
+from collections import Counter, defaultdict
+
+import pytest
 
 from editloom.llm import urls
 
@@ -38,5 +43,114 @@ def test_bad_templates_are_rejected_and_others_kept(spark):
     assert all(v == ("block" if k % 2 and k < 1000 else "allow") for k, v in got.items())
 
 
+def shape(x):
+    if m := re.fullmatch(r"[0-9]+(\.[A-Za-z0-9]{1,5})?", x):
+        return "<num>" + (m.group(1) or "")
+    if re.fullmatch(r"[0-9a-fA-F-]{8,}", x):
+        return "<hex>"
+    return "<id>" if re.search(r"[0-9]", x) and len(x) >= 12 else x
+
+
+class Node:
+    def __init__(self):
+        self.kids, self.pages, self.labels, self.apart, self.pool = {}, [], [], False, []
+
+
+def plain_tree(rows):
+    """rows (key, host, path, bad or None) -> {key: (template, purity, blocked)} by a tree of nodes, one host at a time."""
+    labels = [b for _, _, _, b in rows if b is not None]
+    prior, out, hosts = sum(labels) / len(labels) if labels else 0.5, {}, defaultdict(list)
+    for key, host, path, bad in rows:
+        hosts[host].append((key, [shape(s) for s in re.sub("^/", "", path).split("/")], bad))
+    for host, pages in hosts.items():
+        root = Node()
+
+        def grow(node, pages, depth):
+            node.labels = [b for _, _, b in pages if b is not None]
+            node.pages = [k for k, segs, _ in pages if len(segs) == depth]
+            pages = [p for p in pages if len(p[1]) > depth]
+            n = Counter(segs[depth] for _, segs, _ in pages)
+            for key, segs, bad in pages:
+                s = segs[depth]
+                rare = n[s] < max(urls.MIN_ROWS, len(pages) * urls.MIN_SHARE) and s and not s.startswith("<")
+                node.kids.setdefault("*" if rare else s, []).append((key, segs, bad))
+            for name, own in node.kids.items():
+                kid = node.kids[name] = Node()
+                grow(kid, own, depth + 1)
+
+        def merge(node, owner, name):
+            """Each page's branch: the nearest one above that stands apart."""
+            for k in node.pages:
+                owner.pool.append((k, name))
+            for s, kid in node.kids.items():
+                if kid.labels:
+                    rate = sum(node.labels) / len(node.labels)
+                    kid.apart = abs(sum(kid.labels) / len(kid.labels) - rate) > urls.Z * math.sqrt(rate * (1 - rate) / len(kid.labels))
+                merge(kid, kid if kid.apart else owner, f"{name}/{s}")
+            if node is owner:
+                own = [bad_of[k] for k, _ in node.pool if bad_of[k] is not None]
+                purity = (sum(own) + urls.PRIOR_WEIGHT * prior) / (len(own) + urls.PRIOR_WEIGHT)
+                for k, template in node.pool:
+                    out[k] = (template, purity, len(own) >= urls.MIN_LABELS and purity >= urls.PURITY)
+
+        bad_of = {k: b for k, _, b in pages}
+        grow(root, pages, 0)
+        merge(root, root, host)
+    return out
+
+
+def both(spark, rows, labels=None, rules=urls.RULES):
+    """Verdicts of the operator and of the plain tree over the same rows (page_id, url); page_ids differ."""
+    hits = {k: plain(u) for k, u in rows} if rules else {k: (*plain(u)[:2], None, None) for k, u in rows}
+    bad = dict(labels) if labels is not None else {k: {"block": 1, "allow": 0}.get(h[3]) for k, h in hits.items()}
+    tree = plain_tree([(k, h[0], h[1], bad.get(k)) for k, h in hits.items()])
+    want = {k: (h[3] or ("block" if tree[k][2] else "allow"), tree[k][0], round(tree[k][1], 9)) for k, h in hits.items()}
+    made = urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), rules, None if labels is None else spark.createDataFrame(labels, "page_id long, bad int"))
+    return {r["page_id"]: (r["verdict"], r["template"], round(r["purity"], 9)) for r in made.collect()}, want
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.1"])
+def test_verdicts_equal_a_plain_tree(spark, scale):
+    rows = [(i, r["url"]) for i, r in enumerate(spark.read.parquet(f"/root/testdata/{scale}/pages.parquet").collect())]
+    got, want = both(spark, rows)
+    assert got == want
+    if scale == "sf0.1":  # the tree itself blocks pages, and leaves most alone
+        own = [got[k][0] for k, u in rows if plain(u)[3] is None]
+        assert 0 < own.count("block") < 0.5 * len(own)
+
+
+def test_odd_trees_equal_a_plain_one(spark):
+    rng = random.Random(8)
+    names = ["a", "b", "b", "b", "merged", "none", "*", "", "x1", "77", "deadbeef01", "q%d"]
+    rows, labels = [], []
+    for i in range(3000):
+        segs = [rng.choice(names) for _ in range(rng.randrange(0, 7))]
+        rows.append((i, f"http://h{i % 3}.test/" + "/".join(s % rng.randrange(4) if s == "q%d" else s for s in segs)))
+        if rng.random() < 0.4:
+            labels.append((i, int(rng.random() < (0.99 if "b" in segs[:1] else 0.2))))
+    rows += [(9000 + i, "http://deep.test" + "/d" * 8 + f"/{i}" * (i + 1)) for i in range(9)] + [(9100, "http://one.test/" + "s/" * 500), (9101, None), (9102, ""), (9103, "http://h0.test")]
+    got, want = both(spark, rows, labels, ())
+    assert got == want
+    assert {"block", "allow"} == {v for v, _, _ in got.values()}
+    assert any(t.count("/") > 100 for _, t, _ in got.values())
+
+
+def test_labels_reach_unlabelled_siblings(spark):
+    rows = [(i, f"http://spam.test/{'ab'[i % 2]}/{i}") for i in range(200)] + [(500 + i, f"http://mixed.test/{'ab'[i % 2]}/{i}") for i in range(200)]
+    labels = [(i, 1) for i in range(0, 200, 2)] + [(500 + i, i // 2 % 2) for i in range(0, 200, 2)]
+    got, want = both(spark, rows, labels, ())
+    assert got == want
+    assert all((v == "block") == (k < 500) for k, (v, _, _) in got.items())
+
+
+def test_edge_rows(spark):
+    """Nulls, repeated rows, long urls, clashing columns on a filled table."""
+    rows = [(1, "http://example.com/en/1"), (1, "http://example.com/en/1"), (None, "http://example.net/de/5"), (None, None), (2, ""), (3, "http://h.test/" + "long/" * 3000), (4, "http://h.test/?" + "q" * 50_000)]
+    df = spark.createDataFrame([(*r, "h", "p", "g", "t", 1, 2) for r in rows], "page_id long, url string, host string, path string, g string, t string, n int, bad int")
+    got = Counter((r["page_id"], r["host"], r["rule"], r["verdict"]) for r in urls.filter_urls(df).collect())
+    want = Counter((k, plain(u)[0], plain(u)[2], plain(u)[3] or "allow") for k, u in rows)
+    assert got == want
+
+
 def test_no_pages(spark):
     assert urls.filter_urls(spark.createDataFrame([], "page_id long, url string, host string")).count() == 0
