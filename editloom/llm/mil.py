@@ -4,8 +4,8 @@ A document is a bag of passages of PASSAGE words. Every passage is encoded as sh
 repetition, and hashed words. A layer embeds it, a gated attention network weighs it, and the weighted sum of embeddings is
 scored; all weights are learned from document labels alone, by Adam in numpy.
 
-The fit takes at most TRAIN_DOCS labelled documents, those of least hash, and of each at most TRAIN_PASSAGES passages spread
-evenly; scoring takes every passage of every document. Language, source, doc_id and labels are not inputs of a score.
+The fit takes at most TRAIN_DOCS labelled documents, those of least hash, with all their passages; scoring takes every
+passage of every document. Language, source, doc_id and labels are not inputs of a score.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from .common import map_arrow, raw, texts
 from .wordhash import Words
 
 PASSAGE = 64
-TRAIN_DOCS, TRAIN_PASSAGES = 4000, 64
+TRAIN_DOCS = 4000
 HASHED, HIDDEN, GATE = 32, 24, 16
 EPOCHS, BATCH, RATE, DECAY = 30, 64, 5e-3, 1e-4
 
@@ -171,18 +171,16 @@ def held_out() -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
-    """Learn from the labelled documents that are not held out, at most `train_docs`. Several labels of a document: the largest."""
+    """Learn from the labelled documents that are not held out, at most `train_docs`, each whole. Several labels of a
+    document: the largest. Labels without a document, and null labels and ids, count for nothing."""
     labelled = labels.filter("quality is not null and doc_id is not null").filter(~held_out()).groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
-    # more ids than wanted, as some may have no document; both are bounded
-    some = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * train_docs)
+    there = labelled.join(docs.select("doc_id"), "doc_id", "left_semi")
+    some = there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
     rows = texts(docs).join(F.broadcast(some), "doc_id")
 
     def block(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         x, first = passages(raw(batch.column("text")))
-        out = []
-        for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-            pick = np.unique(np.linspace(a, b - 1, min(TRAIN_PASSAGES, b - a)).round().astype(np.int64))
-            out.append(x[pick].tobytes())
+        out = [x[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(out, pa.binary())], ["doc_id", "quality", "x"])
 
     made = map_arrow(rows, block, "doc_id long, quality int, x binary").orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(train_docs).toArrow()
@@ -194,7 +192,12 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mod
 
 
 def classify(docs: DataFrame, model: Model, cut: float = 0.7) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row. Null texts count as empty and are scored as one empty passage."""
+    """doc_id, held_out, score, predicted for every row.
+
+    Null texts count as empty, and texts without words are scored as one empty passage; texts of any length are scored
+    whole. Repeated rows and null doc_ids each give a row; rows of equal text have equal scores. An empty table gives no
+    rows. Columns beside doc_id and text are not read, so none can clash.
+    """
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def block(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
