@@ -125,14 +125,31 @@ class TokenFileReader:
             yield (None if doc == NO_ID else doc), int(self.offsets[i]), ids[a : a + int(self.lengths[i])]
 
 
+class TextEncoder:
+    """ids of texts as the library gives them: by chunks, and whole where a text holds the name of an added token, which the
+    library cuts out before anything else."""
+
+    def __init__(self, tok, chunks: ChunkEncoder, dtype: str):
+        self.tok, self.chunks, self.dtype = tok, chunks, dtype
+        self.names = [t.content for t in tok.get_added_tokens_decoder().values()]
+
+    def block(self, texts: list[str]) -> list[bytes]:
+        whole = [i for i, t in enumerate(texts) if any(n in t for n in self.names)]
+        if not whole:
+            return self.chunks.block(texts)
+        own = set(whole)
+        out = dict(zip(whole, (np.array(self.tok.encode(texts[i], add_special_tokens=False).ids, self.dtype).tobytes() for i in whole), strict=True))
+        rest = [i for i in range(len(texts)) if i not in own]
+        out.update(zip(rest, self.chunks.block([texts[i] for i in rest]), strict=True))
+        return [out[i] for i in range(len(texts))]
+
+
 @lru_cache(maxsize=2)
-def chunk_encoder(path: str, dtype: str) -> ChunkEncoder:
+def text_encoder(path: str, dtype: str) -> TextEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True  # the names of special tokens in a text are ordinary text
-
     marks = np.zeros(tok.get_vocab_size(with_added_tokens=True), bool)  # tokens that start with a space
     for token, k in tok.get_vocab(with_added_tokens=True).items():
         marks[k] = token.startswith(SPACE_MARK)
@@ -159,7 +176,7 @@ def chunk_encoder(path: str, dtype: str) -> ChunkEncoder:
                 out[i] = np.array(tok.encode(x, add_special_tokens=False).ids, dtype).tobytes()
         return out
 
-    return ChunkEncoder(encode, KEPT)
+    return TextEncoder(tok, ChunkEncoder(encode, KEPT), dtype)
 
 
 def write_tokens(docs: DataFrame, folder: str | None = None, path: str | None = None, end_id: int = 2, files: int | None = None) -> tuple[str, DataFrame]:
@@ -185,7 +202,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, path: str | None =
         fs.create_dir(base, recursive=True)
         end = np.array([end_id], dtype).tobytes()
         name, temp = f"{base}/part-{part:06d}.tok", f"{base}/.part-{part:06d}.{attempt}"
-        enc, writer, out = chunk_encoder(path, dtype), None, None
+        enc, writer, out = text_encoder(path, dtype), None, None
         for batch in batches:
             for some in slices(batch):
                 if writer is None:
@@ -232,6 +249,11 @@ def read_tokens(folder: str, manifest: DataFrame, schema: str = "doc_id long, st
 
 
 def digests(docs: DataFrame, **options) -> DataFrame:
-    """Write all documents, read the files back, and give doc_id, start, n_tokens and the crc32 of the ids in 32 bits."""
+    """Write all documents, read the files back, and give doc_id, start, n_tokens and the crc32 of the ids in 32 bits.
+
+    Null and empty texts have the end id alone; texts of any length are encoded whole. Every row gives a row: null doc_ids
+    come first, rows of one doc_id in any order. An empty table writes no file and gives no rows. Columns beside doc_id
+    and text are not read, so none can clash.
+    """
     folder, manifest = write_tokens(docs, **options)
     return read_tokens(folder, manifest, "doc_id long, start long, n_tokens long, ids_crc32 long", lambda doc, start, ids: (doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))

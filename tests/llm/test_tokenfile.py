@@ -12,7 +12,6 @@ from editloom.llm import tokenfile
 
 def library_ids(texts):
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     return [[*e.ids, 2] for e in tok.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -70,6 +69,13 @@ def test_digests(spark, docs, edge_docs, no_docs):
     assert tokenfile.digests(no_docs).count() == 0
 
 
+def test_names_of_added_tokens_are_read_as_the_library_does(spark):
+    texts = ["x<|endoftext|>y", "<|endoftext|>", " a <|endoftext|> b", "<|endoftext|", "a b <|endoftext|><|endoftext|> c  d\n", "plain text"]
+    folder, manifest = tokenfile.write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = {r["doc_id"]: r["ids"] for r in tokenfile.read_tokens(folder, manifest).collect()}
+    assert got == dict(enumerate(library_ids(texts))) and 50256 in got[0]
+
+
 def test_ids_come_back(spark, docs):
     folder, manifest = tokenfile.write_tokens(docs, files=3)
     got = {r["doc_id"]: r["ids"] for r in tokenfile.read_tokens(folder, manifest).collect()}
