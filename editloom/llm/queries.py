@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import bpe, decontam, lm, mil, pii, rules, simhash, suffix, tokenfile, urls
 from .common import table
+from .sql import SQL as SQL
 
 
 def op1_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,5 +51,3 @@ def op10_simhash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_attention_scores, op2_token_files, op3_suffix_repeats, op4_adaptive_rules, op5_benchmark_containment, op6_byte_bpe, op7_personal_data, op8_url_templates, op9_passage_classifier, op10_simhash_trees)}
-
-SQL: dict[str, str] = {}

@@ -273,7 +273,13 @@ def grouped(prints: DataFrame, nodes: DataFrame, edges: DataFrame, key: str) ->
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int = 42, hot: int = HOT) -> DataFrame:
-    """doc_id, fingerprint (hex), component_id by 64-bit fingerprints that link at `radius` or fewer differing bits; exact."""
+    """doc_id, fingerprint (hex), component_id by 64-bit fingerprints that link at `radius` or fewer differing bits; exact.
+
+    Null, empty and wordless texts have fingerprint zero, linked like any other; texts of any length are hashed whole, one
+    shorter than a shingle as one run. A shingle repeated counts as often; a bit set in just half the hashes is 0. Every row
+    gives a row; rows without a doc_id link like others, and where no row of a component has one its id is null. An empty
+    table gives no rows. Columns beside doc_id and text are not read, so none can clash.
+    """
     prints = materialise(fingerprints(docs, shingle, 64, seed), "prints")
     found = cluster(prints, radius, 64, exact_keys(radius), hot)
     return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
