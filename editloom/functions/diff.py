@@ -15,7 +15,8 @@ STATS = T.StructType([T.StructField(n, T.IntegerType()) for n in ("added", "remo
 def stats(old: str, new: str, context: int = 3) -> tuple[int, int, int, int, int]:
     """Lines added, removed and modified; runs of changes with at most 2 * context equal lines between them; hunk headers."""
     a, b = old.splitlines(), new.splitlines()
-    codes = difflib.SequenceMatcher(None, a, b).get_opcodes()
+    matcher = difflib.SequenceMatcher(None, a, b)
+    codes = matcher.get_opcodes()
     count = {"insert": 0, "delete": 0, "replace": 0}
     hunks, is_open = 0, False
     for tag, i, j, k, m in codes:
@@ -27,7 +28,7 @@ def stats(old: str, new: str, context: int = 3) -> tuple[int, int, int, int, int
             count[tag] += max(j - i, m - k)
         hunks += not is_open
         is_open = True
-    headers = sum(line.startswith("@@") for line in difflib.unified_diff(a, b, n=context))
+    headers = sum(1 for _ in matcher.get_grouped_opcodes(context))  # a header each in the unified form
     return count["insert"], count["delete"], count["replace"], hunks, headers
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
-from .operators import evalmetrics, extract, mix, topics
+from .operators import counters, evalmetrics, extract, mix, topics
 from .sources import io
 
 
@@ -23,7 +23,10 @@ def _triplets(spark: SparkSession, path: str):
 
 def run_extract(spark: SparkSession, c: dict) -> None:
     rows = io.normalise(io.read_jsonl(spark, c["input"], schemas.RESPONSE))
+    one, two = (F.coalesce(F.col(c), F.lit("")) for c in ("response_1", "response_2"))
+    rows, seen = counters.kept_and_skipped(rows, extract.has_sections(one, two), "responses", no_first=one == "", no_second=two == "")
     io.write_jsonl(extract.triplets(rows).drop("system", "user", "response", "sample_index", "commit_message"), c["output"])
+    print(", ".join(f"{k} {v}" for k, v in seen.get.items()))
 
 
 def run_mix(spark: SparkSession, c: dict) -> None:

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import time
+import urllib.error
+import urllib.request
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -14,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import templates, text
+from ..sources.io import api_key
+from .sampling import sample_exact
 
 
 @dataclass(frozen=True)
@@ -27,7 +32,11 @@ class Client(Protocol):
 
 
 class BusyError(RuntimeError):
-    """The service asks to wait."""
+    """The service asks to wait, for as long as it says or else as the sampling says."""
+
+    def __init__(self, message: str = "", wait: float | None = None):
+        super().__init__(message)
+        self.wait = wait
 
 
 class StubClient:
@@ -46,7 +55,15 @@ class Provider:
     extra: dict[str, Any] = field(default_factory=dict)
 
 
-PROVIDERS: dict[str, Provider] = {}
+PROVIDERS: dict[str, Provider] = {
+    "gpt-4o-mini": Provider("https://api.openai.com/v1/chat/completions", "OPENAI_API_KEY"),
+    "deepseek-chat": Provider("https://api.deepseek.com/chat/completions", "DEEPSEEK_API_KEY"),
+}
+
+
+def register(model: str, endpoint: str, key: str, **extra: Any) -> None:
+    """Where a further model is served, with options that every request to it has."""
+    PROVIDERS[model] = Provider(endpoint, key, extra)
 
 
 def provider(model: str) -> Provider:
@@ -55,6 +72,47 @@ def provider(model: str) -> Provider:
     return PROVIDERS[model]
 
 
+@dataclass(frozen=True)
+class HttpClient:
+    """Chat completions over HTTP, as most services offer them: POST of model, messages and options, the key as a bearer
+    token. Too many requests and a server's errors ask to wait; other refusals stop the job."""
+
+    model: str
+    endpoint: str
+    key: str
+    extra: dict[str, Any] = field(default_factory=dict)
+    timeout: float = 120.0
+    busy_wait: float = 120.0
+
+    @classmethod
+    def of(cls, model: str, **options: Any) -> HttpClient:
+        p = provider(model)
+        return cls(model, p.endpoint, api_key(p.key), p.extra, **options)
+
+    def complete(self, messages: list[dict[str, str]], sample: int = 1, **options: Any) -> Reply:
+        body = json.dumps({"model": self.model, "messages": messages, **options, **self.extra}).encode()
+        ask = urllib.request.Request(self.endpoint, body, {"Content-Type": "application/json", "Authorization": f"Bearer {self.key}"})
+        try:
+            with urllib.request.urlopen(ask, timeout=self.timeout) as f:
+                choice = json.load(f)["choices"][0]
+        except urllib.error.HTTPError as e:
+            if e.code == 429:
+                after = e.headers.get("Retry-After", "")
+                raise BusyError("too many requests", float(after) if after.isdigit() else self.busy_wait) from e
+            if e.code >= 500:
+                raise BusyError(f"the service answers {e.code}") from e
+            raise
+        except urllib.error.URLError as e:
+            raise ConnectionError(str(e.reason)) from e
+        return Reply(choice["message"]["content"] or "", choice.get("finish_reason") or "stop")
+
+
+class BatchClient(Protocol):
+    """An engine that answers many prompts at once. Its replies are in the order of the prompts."""
+
+    def complete_batch(self, chats: list[list[dict[str, str]]], samples: list[int], **options: Any) -> list[Reply]: ...
+
+
 @dataclass(frozen=True)
 class Sampling:
     temperature: float = 0.8
@@ -63,26 +121,54 @@ class Sampling:
     retries: int = 5
     wait: float = 10.0
     threads: int = 8
+    batch: int = 32
 
 
-def call(client: Client, messages: list[dict[str, str]], s: Sampling, sample: int) -> Reply:
+def patient(ask: Callable[[], Any], s: Sampling) -> Any:
+    """What `ask` returns, after waiting and asking again where the service wants that."""
     for attempt in range(s.retries):
         try:
-            return client.complete(messages, temperature=s.temperature, top_p=s.top_p, max_tokens=s.max_tokens, sample=sample)
-        except (BusyError, ConnectionError, TimeoutError):
+            return ask()
+        except (BusyError, ConnectionError, TimeoutError) as e:
             if attempt == s.retries - 1:
                 raise
-            time.sleep(s.wait)
+            time.sleep(s.wait if getattr(e, "wait", None) is None else e.wait)
     raise AssertionError
 
 
-def dialogue(prompts: DataFrame, client: Client | None = None, completions: int = 1, sampling: Sampling = Sampling(), key: str = "row_id") -> DataFrame:
-    """prompts (key, system, user array) -> rows with sample_index 1.. and `response`, one text a turn.
+def options(s: Sampling) -> dict[str, Any]:
+    return {"temperature": s.temperature, "top_p": s.top_p, "max_tokens": s.max_tokens}
+
+
+def call(client: Client, messages: list[dict[str, str]], s: Sampling, sample: int) -> Reply:
+    return patient(lambda: client.complete(messages, sample=sample, **options(s)), s)
+
+
+def call_many(client: Client | BatchClient, chats: list[list[dict[str, str]]], samples: list[int], s: Sampling, pool: ThreadPoolExecutor) -> list[Reply]:
+    """Replies in order. An engine gets batches of s.batch, the last one as short as it comes; another client gets a call a
+    prompt, several at once."""
+    if not hasattr(client, "complete_batch"):
+        return list(pool.map(lambda x: call(client, x[0], s, x[1]), zip(chats, samples, strict=True)))
+    out: list[Reply] = []
+    for k in range(0, len(chats), s.batch):
+        part = slice(k, k + s.batch)
+        got = patient(lambda part=part: client.complete_batch(chats[part], samples[part], **options(s)), s)
+        if len(got) != len(chats[part]):
+            raise ValueError("an engine must give one reply a prompt")
+        out += got
+    return out
+
+
+def dialogue(prompts: DataFrame, client: Client | None = None, completions: int = 1, sampling: Sampling = Sampling(), key: str = "row_id", max_samples: int | None = None, seed: int = 42) -> DataFrame:
+    """prompts (key, system, user array) -> rows with sample_index 1.. and `response`, one text a turn. Of more than
+    max_samples prompts as many are drawn.
 
     Every user turn is put behind the replies so far. Prompts with a blank turn are left out. A task that runs again asks
     again: (key, sample_index) names a reply, and sinks keep one of each.
     """
     client = client or StubClient()
+    if max_samples is not None:
+        prompts = sample_exact(prompts, max_samples, key, seed)
     rows = prompts.filter(F.forall("user", lambda u: F.length(text.strip(u)) > 0) & (F.size("user") > 0))
     rows = rows.withColumn("sample_index", F.explode(F.sequence(F.lit(1), F.lit(completions))))
 
@@ -167,13 +253,13 @@ def complete(tasks: DataFrame, model: str, client: Client | None = None, complet
     plain = not m.chat or m.formatter is not None
     rows = tasks.withColumn("asked", asked).withColumn("prompt", F.col("asked") if plain else F.to_json("asked"))
     rows = rows.withColumn("sample_index", F.explode(F.sequence(F.lit(1), F.lit(completions))))
-    stops = m.stops
+    stops = tuple(dict.fromkeys(m.stops))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(sampling.threads) as pool:
             for f in frames:
                 chats = [[{"role": "user", "content": a}] if plain else [dict(x) if isinstance(x, dict) else x.asDict() for x in a] for a in f["asked"]]
-                replies = list(pool.map(lambda x: call(client, x[0], sampling, x[1]), zip(chats, f["sample_index"], strict=True)))
+                replies = call_many(client, chats, f["sample_index"].tolist(), sampling, pool)
                 yield pd.DataFrame({"full_name": f["full_name"], "instr_kind": f["instr_kind"], "sample_index": f["sample_index"], "reply": [r.text for r in replies], "cut": [r.finish_reason == "length" for r in replies]})
 
     made = rows.select("full_name", "instr_kind", "asked", "sample_index").mapInPandas(run, "full_name string, instr_kind string, sample_index int, reply string, cut boolean")

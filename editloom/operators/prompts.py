@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import templates
 from ..functions.diff import unified_diff
 from ..functions.text import split_lines
-from .sampling import draw, order_key, snippet
+from .sampling import draw, order_key, with_snippet
 
 
 def valid_commits(commits: DataFrame, rewrite: bool = False) -> DataFrame:
@@ -24,16 +24,14 @@ def eligible(commits: DataFrame, low: int = 5) -> DataFrame:
     return valid_commits(commits).filter(F.size(split_lines(F.col("old_contents"))) >= low)
 
 
-BUCKETS = 4096
-
-
-def numbered(pool: DataFrame, key: str, seed) -> DataFrame:
+def numbered(pool: DataFrame, key: str, seed, digits: int = 3) -> DataFrame:
     """Places 0.. in a random order that does not depend on partitions.
 
-    Hashes are uniform, so their first three digits cut the rows into even buckets. Buckets are numbered by a window each,
-    behind as many rows as the buckets before hold; that table has BUCKETS rows at most.
+    Hashes are uniform, so their first digits cut the rows into even buckets. Buckets are numbered by a window each, behind
+    as many rows as the buckets before hold; that table has 16^digits rows at most. Five digits keep a bucket of 10^10
+    rows at ten thousand.
     """
-    hashed = pool.withColumn("o_", order_key(seed, F.col(key))).withColumn("b_", F.substring("o_", 1, 3))
+    hashed = pool.withColumn("o_", order_key(seed, F.col(key))).withColumn("b_", F.substring("o_", 1, digits))
     counts = hashed.groupBy("b_").agg(F.count("*").alias("n"))
     before = counts.select("b_", (F.sum("n").over(Window.orderBy("b_")) - F.col("n")).alias("base_"))
     place = F.col("base_") + F.row_number().over(Window.partitionBy("b_").orderBy("o_", key)) - 1
@@ -48,8 +46,9 @@ def pairs(n_pool: int, n: int, seed, spark) -> DataFrame:
     return rows.select("i", a.alias("a"), F.pmod(a + step, F.lit(n_pool)).alias("b"))
 
 
-def synthesis_prompts(commits: DataFrame, shots: DataFrame, n: int, seed: int = 42, low: int = 5, high: int = 15, version: str = "v5.1", n_pool: int | None = None) -> DataFrame:
-    """Exactly n prompts, each of two different eligible commits and a one-shot example drawn at random."""
+def synthesis_prompts(commits: DataFrame, shots: DataFrame, n: int | None, seed: int = 42, low: int = 5, high: int = 15, version: str = "v5.1", n_pool: int | None = None) -> DataFrame:
+    """Exactly n prompts, each of two different eligible commits and a one-shot example drawn at random. Without n there are
+    as many prompts as eligible commits."""
     spark = commits.sparkSession
     system, turns = templates.prompts(version)
     pool = numbered(eligible(commits, low), "commit", seed).select("place", "commit", "old_contents", "message")
@@ -59,9 +58,10 @@ def synthesis_prompts(commits: DataFrame, shots: DataFrame, n: int, seed: int =
     shots = numbered(shots, "code_before", seed).select(F.col("place").alias("shot"), "code_before", "instruct_descriptive", "instruct_lazy")
     many = shots.count()
     side = lambda s: pool.select(*(F.col(c).alias(f"{c}_{s}") for c in pool.columns))
-    rows = pairs(size, n, seed, spark).withColumn("shot", F.pmod(draw(f"{seed}o", F.col("i")), F.lit(many)))
+    rows = pairs(size, size if n is None else n, seed, spark).withColumn("shot", F.pmod(draw(f"{seed}o", F.col("i")), F.lit(many)))
     rows = rows.join(side("a"), F.col("a") == F.col("place_a")).join(side("b"), F.col("b") == F.col("place_b")).join(shots, "shot")
-    rows = rows.withColumns({f"snippet_{s}": snippet(F.col(f"old_contents_{s}"), seed, F.concat_ws("#", "i", F.lit(s)), low, high) for s in "ab"})
+    for s in "ab":
+        rows = with_snippet(rows, f"old_contents_{s}", seed, F.concat_ws("#", "i", F.lit(s)), f"snippet_{s}", low, high)
     slots = {"code_snippet_1": F.col("snippet_a"), "code_snippet_2": F.col("snippet_b"), "code_before_shot": F.col("code_before"), "desc_instr_shot": F.col("instruct_descriptive"), "lazy_instr_shot": F.col("instruct_lazy")}
     return rows.select(
         "i",

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import diff, templates, text, tokens
-from ..operators import evalmetrics, extract, generate, mix, prompts, sampling, stats, topics
+from ..operators import counters, evalmetrics, extract, generate, mix, prompts, sampling, stats, topics
+from ..sources import io, scratch
 from ..streaming import resume
 
 QUERIES: dict = {}
@@ -50,12 +51,14 @@ def q(s: str) -> str:
 NL = "chr(10)"
 WS = q(text.SPACES)
 MARK = "CASE doc_id % 6 WHEN 1 THEN '[{0}]' WHEN 2 THEN '### {0}' ELSE '### [{0}]' END"
-_before = f"{MARK.format('Program Before Edit')} || {NL} || '```python' || {NL} || substr(text, 1, 200) || {NL} || '```' || {NL}"
-_desc = f"CASE WHEN doc_id % 6 = 3 THEN 'none' ELSE {MARK.format('Descriptive')} END || {NL} || '** ' || substr(text, 201, 100) || ' -' || {NL}"
-_lazy = f"{MARK.format('Lazy')} || {NL} || CASE WHEN doc_id % 6 = 5 AND doc_id % 4 = 1 THEN '' ELSE '# ' || substr(text, 1, 50) END || {NL}"
+HALF = "CAST(floor(length(text) / 2) AS INT)"
+FRONT, BACK = f"substr(text, 1, {HALF})", f"substr(text, {HALF} + 1)"
+_before = f"{MARK.format('Program Before Edit')} || {NL} || '```python' || {NL} || {FRONT} || {NL} || '```' || {NL}"
+_desc = f"CASE WHEN doc_id % 6 = 3 THEN 'none' ELSE {MARK.format('Descriptive')} END || {NL} || '** ' || {BACK} || ' -' || {NL}"
+_lazy = f"{MARK.format('Lazy')} || {NL} || CASE WHEN doc_id % 6 = 5 AND doc_id % 4 = 1 THEN '' ELSE '# ' || {BACK} END || {NL}"
 RESPONSES = {
     "response_1": f"CASE WHEN doc_id % 6 = 4 THEN {_lazy} || {_before} || {_desc} ELSE {_before} || {_desc} || {_lazy} END || CASE doc_id % 5 WHEN 0 THEN '---' || {NL} || 'x' WHEN 1 THEN '### more' WHEN 2 THEN '```' ELSE '' END",
-    "response_2": f"CASE WHEN doc_id % 11 = 10 THEN '<UNREASONABLE>' ELSE {MARK.format('Program After Edit')} END || {NL} || '```' || CASE doc_id % 3 WHEN 0 THEN 'py' WHEN 1 THEN '' ELSE 'markdown' END || {NL} || substr(text, 1, 150) || {NL} || 'tail' || {NL} || '```' || {NL}",
+    "response_2": f"CASE WHEN doc_id % 11 = 10 THEN '<UNREASONABLE>' ELSE {MARK.format('Program After Edit')} END || {NL} || '```' || CASE doc_id % 3 WHEN 0 THEN 'py' WHEN 1 THEN '' ELSE 'markdown' END || {NL} || text || {NL} || 'tail' || {NL} || '```' || {NL}",
 }
 FENCED = {
     "x": f"CASE doc_id % 7 WHEN 0 THEN text WHEN 1 THEN '```' || {NL} || text || {NL} || '```' WHEN 2 THEN '```py' || {NL} || text || {NL} || '``` b ```' || {NL} || 'x' || {NL} || '```' WHEN 3 THEN '```markdown' || {NL} || 'm' || {NL} || '``` ```js' || {NL} || text || '```' "
@@ -202,12 +205,11 @@ SQL["eligible_snippets"] = f"SELECT doc_id, len({sql_lines('old_contents')})::BI
 
 @query
 def sample_snippets(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", sampling.snippet(F.col("text"), SEED, F.col("doc_id")).alias("snippet")).filter("snippet is not null")
+    return sampling.with_snippet(docs(spark, sf_dir), "text", SEED, F.col("doc_id")).select("doc_id", "snippet")
 
 
 SQL["sample_snippets"] = f"""SELECT doc_id, array_to_string(lines[start + 1 : start + size], {NL}) AS snippet FROM (SELECT *, {sql_draw('42s', 'doc_id')} % (len(lines) - size + 1) AS start FROM (
  SELECT *, 5 + {sql_draw('42l', 'doc_id')} % (least(15, len(lines)) - 5 + 1) AS size FROM (SELECT doc_id, {sql_lines('text')} AS lines FROM ({D})) WHERE len(lines) >= 5))"""
-PAIRS = 300
 
 
 def _pool(spark, sf_dir) -> DataFrame:
@@ -215,13 +217,14 @@ def _pool(spark, sf_dir) -> DataFrame:
 
 
 _pool_sql = f"SELECT *, row_number() OVER (ORDER BY {sql_key(SEED, 'commit')}, commit) - 1 AS place FROM {made(**COMMITS)} WHERE {_valid} AND len({sql_lines('old_contents')}) >= 5"
-_pairs_sql = f"SELECT i, a, (a + 1 + {sql_draw('42b', 'i')} % (n - 1)) % n AS b FROM (SELECT i, n, {sql_draw('42a', 'i')} % n AS a FROM range({PAIRS}) r(i), (SELECT count(*) AS n FROM pool))"
+_pairs_sql = f"SELECT i, a, (a + 1 + {sql_draw('42b', 'i')} % (n - 1)) % n AS b FROM (SELECT i, n, {sql_draw('42a', 'i')} % n AS a FROM (SELECT n, unnest(range(n)) AS i FROM (SELECT count(*) AS n FROM pool)))"
 
 
 @query
 def pair_commits(spark, sf_dir):
     pool = _pool(spark, sf_dir).select("place", "commit")
-    rows = prompts.pairs(pool.count(), PAIRS, SEED, spark)
+    many = pool.count()
+    rows = prompts.pairs(many, many, SEED, spark)
     a, b = (pool.select(F.col("place").alias(f"p{s}"), F.col("commit").alias(f"commit_{s}")) for s in "ab")
     return rows.join(a, F.col("a") == F.col("pa")).join(b, F.col("b") == F.col("pb")).select("i", "commit_a", "commit_b")
 
@@ -232,8 +235,7 @@ SHOTS = {"code_before": "'shot ' || doc_id", "instruct_descriptive": "'do ' || l
 
 @query
 def fill_prompts(spark, sf_dir):
-    shots = docs(spark, sf_dir, **SHOTS).filter("doc_id % 50 = 0")
-    rows = prompts.synthesis_prompts(docs(spark, sf_dir, **COMMITS), shots, PAIRS, SEED)
+    rows = prompts.synthesis_prompts(docs(spark, sf_dir, **COMMITS), docs(spark, sf_dir, **SHOTS), None, SEED)
     return rows.select("i", F.array_join("commit", ",").alias("commit"), F.element_at("user", 1).alias("user_1"), F.element_at("user", 2).alias("user_2"), F.array_join("code_snippet", "|").alias("snippets"), F.array_join("commit_message", "|").alias("messages"))
 
 
@@ -251,7 +253,7 @@ def sql_fill(template: str, **slots: str) -> str:
 
 
 _slots = {"code_snippet_1": "s1", "code_snippet_2": "s2", "code_before_shot": "code_before", "desc_instr_shot": "instruct_descriptive", "lazy_instr_shot": "instruct_lazy"}
-SQL["fill_prompts"] = f"""WITH pool AS ({_pool_sql}), shots AS (SELECT *, row_number() OVER (ORDER BY {sql_key(SEED, 'code_before')}, code_before) - 1 AS shot FROM {made(**SHOTS)} WHERE doc_id % 50 = 0),
+SQL["fill_prompts"] = f"""WITH pool AS ({_pool_sql}), shots AS (SELECT *, row_number() OVER (ORDER BY {sql_key(SEED, 'code_before')}, code_before) - 1 AS shot FROM {made(**SHOTS)}),
  p AS (SELECT *, {sql_draw('42o', 'i')} % (SELECT count(*) FROM shots) AS shot FROM ({_pairs_sql})),
  j AS (SELECT p.i, x.commit || ',' || y.commit AS commit, {_sql_snippet('x.old_contents', "p.i || '#a'")} AS s1, {_sql_snippet('y.old_contents', "p.i || '#b'")} AS s2, x.message || '|' || y.message AS messages, code_before, instruct_descriptive, instruct_lazy
   FROM p JOIN pool x ON p.a = x.place JOIN pool y ON p.b = y.place JOIN shots USING (shot))
@@ -260,7 +262,7 @@ SQL["fill_prompts"] = f"""WITH pool AS ({_pool_sql}), shots AS (SELECT *, row_nu
 
 @query
 def rewrite_prompts(spark, sf_dir):
-    return prompts.rewrite_prompts(docs(spark, sf_dir, **COMMITS), docs(spark, sf_dir, **SHOTS).filter("doc_id % 50 = 0"), SEED)
+    return prompts.rewrite_prompts(docs(spark, sf_dir, **COMMITS), docs(spark, sf_dir, **SHOTS), SEED)
 
 
 # sampling and mixing
@@ -296,9 +298,9 @@ SQL["largest_remainder"] = f"""SELECT source, n * 997 // t + (row_number() OVER
 TRIPLETS = {
     "row_id": "doc_id",
     "commit": "'c' || doc_id",
-    "code_before_purify": "CASE WHEN doc_id % 9 = 0 THEN NULL ELSE substr(text, 1, 100) END",
-    "code_after_purify": "substr(text, 1, 120)",
-    "instruct_descriptive_purify": "substr(text, 101, 60)",
+    "code_before_purify": f"CASE WHEN doc_id % 9 = 0 THEN NULL ELSE {FRONT} END",
+    "code_after_purify": "text",
+    "instruct_descriptive_purify": BACK,
     "instruct_lazy_purify": "CASE WHEN doc_id % 4 = 0 THEN '' ELSE lang END",
 }
 
@@ -464,7 +466,7 @@ def tokenize_code(spark, sf_dir):
 @query
 def tokenize_words(spark, sf_dir):
     ascii_only = F.regexp_replace("text", r"[^\x00-\x7f]", "e")
-    prompt = templates.edit_prompt(F.substring(ascii_only, 1, 50), ascii_only, tag_before="python")
+    prompt = templates.edit_prompt(ascii_only, ascii_only, tag_before="python")
     return docs(spark, sf_dir).select("doc_id", F.array_join(text.instruction_words(text.edit_parts(prompt)[1]), " ").alias("words"))
 
 
@@ -494,7 +496,7 @@ def sharegpt_user_text(spark, sf_dir):
 
 
 SQL["sharegpt_user_text"] = f"SELECT conv_id, string_agg(text, {NL} ORDER BY turn) AS user_text FROM conversations WHERE role = 'user' GROUP BY conv_id"
-ROWS = {**TRIPLETS, "instruct_purify": "substr(text, 101, 60)", "instr_type": "CASE WHEN doc_id % 2 = 0 THEN 'm_lazy' ELSE NULL END"}
+ROWS = {**TRIPLETS, "instruct_purify": BACK, "instr_type": "CASE WHEN doc_id % 2 = 0 THEN 'm_lazy' ELSE NULL END"}
 _old = "coalesce(code_before_purify, '')"
 _prompt = f"'## Code Before:' || {NL} || CASE WHEN {sql_draw('42f', 'row_id')} % 2 = 0 THEN '```python' || {NL} || {_old} || {NL} || '```' ELSE {_old} END || {NL} || '## Instruction:' || {NL} || instruct_purify || {NL} || '## Code After:' || {NL}"
 _answer = f"'```python' || {NL} || code_after_purify || {NL} || '```'"
@@ -543,13 +545,13 @@ _chat_query("chat_fold_system", lambda m: F.array_join(F.transform(templates.fol
 
 @query
 def edit_prompts(spark, sf_dir):
-    old, words = F.substring("text", 1, 80), F.col("source")
+    old, words = F.col("text"), F.col("source")
     flat = lambda m: F.array_join(F.transform(m, lambda x: F.concat(x["role"], F.lit("="), x["content"])), "|")
     made_ = {"commit": templates.commit_prompt(old, words), "direct": templates.edit_prompt(old, words, words, "py", "py"), "shot": templates.one_shot_prompt(old, words), "issue": templates.issue_prompt(old, words), "chat": flat(templates.chat_prompt(old, words)), "diff": flat(templates.chat_prompt_diff(old, words)), "chat_shot": flat(templates.chat_prompt_one_shot(old, words)), "with_system": templates.system_edit_prompt(old, words)}
     return docs(spark, sf_dir).select("doc_id", *(c.alias(f"p_{k}") for k, c in made_.items()))
 
 
-_o = "substr(text, 1, 80)"
+_o = "text"
 _direct = lambda o, n="''": f"'## Code Before:' || {NL} || {o} || {NL} || '## Instruction:' || {NL} || source || {NL} || '## Code After:' || {NL} || {n}"
 _fence = lambda c, t: f"'```{t}' || {NL} || {c} || {NL} || '```'"
 _shot = q(f"## Code Before:\n{templates.SHOT_OLD}\n## Instruction:\n{templates.SHOT_INSTRUCTION}\n## Code After:\n{templates.SHOT_NEW}\n")
@@ -684,7 +686,7 @@ def excess_code(spark, sf_dir):
 
 # generation
 
-PROBLEMS = {"full_name": "'p' || item_id", "before": "substr(text, 1, 60)", "instruction_descriptive": "'describe ' || item_id", "instruction_lazy": "'do ' || item_id"}
+PROBLEMS = {"full_name": "'p' || item_id", "before": "text", "instruction_descriptive": "'describe ' || item_id", "instruction_lazy": "'do ' || item_id"}
 
 
 @query
@@ -701,11 +703,11 @@ SQL["batch_completions"] = f"WITH problems AS (SELECT {', '.join(f'{v} AS {k}' f
 
 @query
 def generate_stub(spark, sf_dir):
-    rows = docs(spark, sf_dir).select(F.col("doc_id").alias("row_id"), F.lit("sys").alias("system"), F.array(F.when(F.col("doc_id") % 10 == 0, " ").otherwise(F.substring("text", 1, 40)), F.lit("again")).alias("user"))
+    rows = docs(spark, sf_dir).select(F.col("doc_id").alias("row_id"), F.lit("sys").alias("system"), F.array(F.when(F.col("doc_id") % 10 == 0, " ").otherwise(F.col("text")), F.lit("again")).alias("user"))
     return generate.dialogue(rows, completions=2).select("row_id", F.col("sample_index").cast("long").alias("sample_index"), "response_1", "response_2")
 
 
-SQL["generate_stub"] = f"SELECT doc_id AS row_id, i AS sample_index, 'echo ' || md5(u || '#2#' || i) AS response_1, 'echo ' || md5('again#4#' || i) AS response_2 FROM (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN ' ' ELSE substr(text, 1, 40) END AS u FROM ({D})), (SELECT unnest([1, 2])::BIGINT AS i) WHERE {sql_strip('u')} <> ''"
+SQL["generate_stub"] = f"SELECT doc_id AS row_id, i AS sample_index, 'echo ' || md5(u || '#2#' || i) AS response_1, 'echo ' || md5('again#4#' || i) AS response_2 FROM (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN ' ' ELSE text END AS u FROM ({D})), (SELECT unnest([1, 2])::BIGINT AS i) WHERE {sql_strip('u')} <> ''"
 
 
 @query
@@ -715,3 +717,230 @@ def resume_antijoin(spark, sf_dir):
 
 
 SQL["resume_antijoin"] = f"SELECT doc_id, lang FROM ({D}) WHERE doc_id % 3 <> 0"
+
+# files: written from the documents, read back
+
+DOC = "doc_id long, text string, lang string"
+COMMIT = {"commit": "CASE doc_id % 3 WHEN 0 THEN '[\"a' || doc_id || '\",\"b\"]' WHEN 1 THEN 'c' || doc_id ELSE NULL END"}
+
+
+def _lines(spark, sf_dir) -> str:
+    """A folder of JSON lines with blank ones and ones that are no JSON."""
+    path = scratch.folder(spark, "lines")
+    line = F.when(F.col("doc_id") % 7 == 3, "{broken").when(F.col("doc_id") % 11 == 5, "  ").otherwise(F.to_json(F.struct("doc_id", "text", "lang")))
+    docs(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return path
+
+
+_good = f"SELECT doc_id, text, lang FROM ({D}) WHERE doc_id % 7 <> 3 AND doc_id % 11 <> 5"
+
+
+@query
+def jsonl_read(spark, sf_dir):
+    return io.read_jsonl(spark, _lines(spark, sf_dir), DOC)
+
+
+SQL["jsonl_read"] = _good
+
+
+@query
+def jsonl_strict(spark, sf_dir):
+    path = scratch.folder(spark, "strict")
+    io.write_jsonl(docs(spark, sf_dir).select("doc_id", "text", "lang"), path)
+    return io.read_jsonl(spark, path, DOC, strict=True)
+
+
+SQL["jsonl_strict"] = f"SELECT doc_id, text, lang FROM ({D})"
+
+
+@query
+def jsonl_ascii(spark, sf_dir):
+    """Written without a character beyond ASCII, read as lines and decoded: the same texts."""
+    path = scratch.folder(spark, "ascii")
+    io.write_jsonl(docs(spark, sf_dir).select("doc_id", "text", "lang"), path, ascii_only=True)
+    lines = io.read_lines(spark, path)
+    return lines.select("value", F.from_json("value", DOC).alias("r")).select("r.*", F.col("value").rlike(r"[^\x00-\x7f]").alias("beyond"))
+
+
+SQL["jsonl_ascii"] = f"SELECT doc_id, text, lang, false AS beyond FROM ({D})"
+
+
+@query
+def lines_sampled(spark, sf_dir):
+    """Lines are drawn before they are decoded."""
+    lines = io.read_lines(spark, _lines(spark, sf_dir)).filter(F.col("value").startswith('{"'))
+    return io.decode(sampling.sample_exact(lines.withColumn("k", F.get_json_object("value", "$.doc_id")), 150, "k", SEED), DOC)
+
+
+SQL["lines_sampled"] = f"SELECT * FROM ({_good}) ORDER BY {sql_key(SEED, 'doc_id')}, CAST(doc_id AS VARCHAR) LIMIT 150"
+
+
+@query
+def commit_forms(spark, sf_dir):
+    """Commits that a file has as text or as an array in text come out alike."""
+    path = scratch.folder(spark, "commits")
+    io.write_jsonl(docs(spark, sf_dir, **COMMIT).select("doc_id", "commit"), path)
+    return io.normalise(io.read_jsonl(spark, path, "doc_id long, commit string")).select("doc_id", "commit")
+
+
+SQL["commit_forms"] = SQL["normalize_commit"]
+
+
+@query
+def fields_projected(spark, sf_dir):
+    """The wanted fields that are there, and how many are not."""
+    rows, missing = io.project(docs(spark, sf_dir), ["lang", "doc_id", "absent", "other"])
+    return rows.withColumn("missing", F.lit(",".join(missing)))
+
+
+SQL["fields_projected"] = f"SELECT lang, doc_id, 'absent,other' AS missing FROM ({D})"
+
+
+@query
+def rejects_split(spark, sf_dir):
+    """Valid rows beside those in quarantine."""
+    path = scratch.folder(spark, "rejects")
+    rows = docs(spark, sf_dir).select("doc_id", "text")
+    kept = io.split_rejects(rows, F.length("text") > 200, path).withColumn("valid", F.lit(True))
+    return kept.unionByName(spark.read.schema("doc_id long, text string").json(path).withColumn("valid", F.lit(False)))
+
+
+SQL["rejects_split"] = f"SELECT doc_id, text, length(text) > 200 AS valid FROM ({D})"
+
+
+@query
+def rows_counted(spark, sf_dir):
+    """What a step keeps, skips and misses, observed while it runs."""
+    rows = docs(spark, sf_dir, **COMMITS)
+    kept, seen = counters.kept_and_skipped(rows, F.length("message") > 0, "valid", no_old=F.col("old_contents").isNull(), no_commit=F.col("commit") == "")
+    kept.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([tuple(seen.get[c] for c in ("read", "kept", "skipped", "no_old", "no_commit"))], "n_read long, n_kept long, n_skipped long, no_old long, no_commit long")
+
+
+SQL["rows_counted"] = f"SELECT count(*) AS n_read, count(*) FILTER (length(message) > 0) AS n_kept, count(*) FILTER (coalesce(length(message), 0) = 0) AS n_skipped, count(*) FILTER (old_contents IS NULL) AS no_old, count(*) FILTER (commit = '') AS no_commit FROM {made(**COMMITS)}"
+
+
+def _completions(spark, sf_dir):
+    """A gzipped document a benchmark item, with a list of completions."""
+    path = scratch.folder(spark, "completions")
+    rows = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("p"), "item_id").alias("full_name"), F.lit("lazy").alias("instr_kind"), F.col("text").alias("before"), F.array(F.lit("a"), F.col("text")).alias("completions"))
+    return path, io.write_completions(rows, path)
+
+
+@query
+def completions_gz(spark, sf_dir):
+    path, files = _completions(spark, sf_dir)
+    rows = spark.read.schema("full_name string, instr_kind string, before string, completions array<string>").json(path)
+    named = files.select("full_name", F.element_at(F.split("file", "/"), -1).alias("file"))
+    return rows.join(named, "full_name").select("full_name", "instr_kind", "file", "before", F.array_join("completions", "|").alias("completions"))
+
+
+SQL["completions_gz"] = "SELECT 'p' || item_id AS full_name, 'lazy' AS instr_kind, 'p' || item_id || '_lazy.json.gz' AS file, text AS before, 'a|' || text AS completions FROM benchmark"
+RESULT = "id long, temperature double, results array<struct<status:string,exit_code:int>>"
+
+
+def _results(spark, sf_dir) -> str:
+    """A result document an order of the first 400, plain or gzipped, in nested folders, beside files that cannot be read."""
+    path = scratch.folder(spark, "results")
+    rows = table(spark, sf_dir, "lineitem").filter("l_orderkey <= 400").groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_list(F.struct(F.when(F.col("l_linestatus") == "O", "OK").otherwise("Exception").alias("status"), F.lit(0).alias("exit_code"))).alias("results"))
+    line = F.when(F.col("id") % 10 == 7, "{no json").otherwise(F.to_json(F.struct("id", F.lit(0.2).alias("temperature"), "results")))
+    rows = rows.select((F.col("id") % 3).cast("string").alias("top"), (F.col("id") % 2).cast("string").alias("run"), F.col("id").cast("string").alias("name"), line.alias("line"), (F.col("id") % 4 == 1).alias("packed"))
+
+    def run(frames):
+        import gzip
+
+        import pyarrow.fs as pafs
+
+        fs, base = pafs.FileSystem.from_uri(path)
+        for f in frames:
+            for top, run_, name, line_, packed in f.itertuples(index=False):
+                folder = f"{base}/t{top}" + (f"/r{run_}" if top != "0" else "")
+                fs.create_dir(folder, recursive=True)
+                with fs.open_output_stream(f"{folder}/{name}.results.json" + ".gz" * packed, compression=None) as out:
+                    out.write(gzip.compress(line_.encode()) if packed else line_.encode())
+            yield f[["name"]]
+
+    rows.mapInPandas(run, "name string").write.format("noop").mode("overwrite").save()
+    return path
+
+
+_orders = "(SELECT l_orderkey AS id, count(*) AS n, count(*) FILTER (l_linestatus = 'O') AS c FROM lineitem WHERE l_orderkey <= 400 AND l_orderkey % 10 <> 7 GROUP BY l_orderkey)"
+
+
+@query
+def results_read(spark, sf_dir):
+    rows = io.read_results(spark, _results(spark, sf_dir), RESULT)
+    return rows.select("id", "temperature", "name", F.size("results").cast("long").alias("n"), F.size(F.filter("results", evalmetrics.passed)).cast("long").alias("c"))
+
+
+SQL["results_read"] = f"SELECT id, 0.2::DOUBLE AS temperature, CASE WHEN id % 3 = 0 THEN 't0' ELSE 'r' || (id % 2) END AS name, n, c FROM {_orders}"
+
+
+@query
+def results_leaves(spark, sf_dir):
+    """Results of folders without sub-folders, with the last two parts of the folder's path."""
+    path = _results(spark, sf_dir)
+    rows = io.leaf_folders(io.read_results(spark, path, RESULT))
+    directory, name = io.last_parts(F.concat("folder", F.lit("/")))
+    return rows.select("id", F.when(directory.startswith("t"), directory).otherwise("").alias("directory"), name.alias("name"))
+
+
+SQL["results_leaves"] = f"SELECT id, CASE WHEN id % 3 = 0 THEN '' ELSE 't' || (id % 3) END AS directory, CASE WHEN id % 3 = 0 THEN 't0' ELSE 'r' || (id % 2) END AS name FROM {_orders}"
+
+
+@query
+def sheet_appended(spark, sf_dir):
+    path = scratch.folder(spark, "sheet")
+    for k in (0, 1):
+        io.append_sheet(docs(spark, sf_dir).filter(F.col("doc_id") % 2 == k).select("doc_id", "lang"), path)
+    return spark.read.parquet(path)
+
+
+SQL["sheet_appended"] = f"SELECT doc_id, lang FROM ({D})"
+
+
+@query
+def sheet_text(spark, sf_dir):
+    """Counts by language as CSV text, cut into its lines."""
+    lines = io.to_csv(docs(spark, sf_dir).groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang")).rstrip("\n").split("\n")
+    return spark.createDataFrame(list(enumerate(lines)), "place long, line string")
+
+
+SQL["sheet_text"] = f"SELECT 0::BIGINT AS place, 'lang,n' AS line UNION ALL SELECT row_number() OVER (ORDER BY lang), lang || ',' || n FROM (SELECT lang, count(*) AS n FROM ({D}) GROUP BY lang)"
+
+
+@query
+def stream_resumed(spark, sf_dir):
+    """Files that come in two lots, each taken up once by a stream that stops in between."""
+    source, sink, state = (scratch.folder(spark, x) for x in ("arriving", "sink", "state"))
+    rows = docs(spark, sf_dir).select("doc_id", "lang")
+    for k in (0, 1):
+        rows.filter(F.col("doc_id") % 2 == k).repartition(4).write.mode("append").json(source)
+        resume.run_available(spark, source, "doc_id long, lang string", lambda b: b.filter("lang <> 'es'"), sink, state, files_per_batch=3).awaitTermination()
+    return resume.read_sink(spark, sink)
+
+
+SQL["stream_resumed"] = f"SELECT doc_id, lang FROM ({D}) WHERE lang <> 'es'"
+
+
+@query
+def append_once(spark, sf_dir):
+    """What is in the sink already, by its key, is not appended again."""
+    sink = scratch.folder(spark, "once")
+    rows = docs(spark, sf_dir).select("doc_id", "lang")
+    resume.append_new(rows.filter("doc_id % 3 = 0"), sink, ["doc_id"])
+    resume.append_new(rows, sink, ["doc_id"])
+    return spark.read.parquet(sink)
+
+
+SQL["append_once"] = f"SELECT DISTINCT doc_id, lang FROM ({D})"
+
+
+@query
+def finetune_set(spark, sf_dir):
+    """Two inputs as one set of training rows."""
+    rows = docs(spark, sf_dir, **ROWS)
+    return mix.finetune_set([rows.filter("doc_id % 2 = 0"), rows.filter("doc_id % 2 = 1").drop("instr_type")], "alpaca", SEED)
+
+
+SQL["finetune_set"] = SQL["alpaca_rows"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -103,14 +104,39 @@ def last_parts(path: Column) -> tuple[Column, Column]:
     return F.coalesce(F.try_element_at(parts, F.lit(-2)), F.lit("")), F.element_at(parts, -1)
 
 
-def write_completions(rows: DataFrame, path: str) -> None:
-    """A gzipped JSON folder per problem and kind; what is there already is replaced."""
-    copies = rows.withColumns({"p_": F.col("full_name"), "k_": F.col("instr_kind")})
-    copies.write.mode("overwrite").option("compression", "gzip").option("partitionOverwriteMode", "dynamic").partitionBy("p_", "k_").json(path)
+def write_completions(rows: DataFrame, folder: str) -> DataFrame:
+    """One gzipped JSON document a problem and kind, `<full_name>_<instr_kind>.json.gz` in the folder, replaced as a whole;
+    returns full_name, instr_kind and file. A row is one document, so no task holds more than its own."""
+    import gzip
+
+    import pyarrow.fs as pafs
+
+    line = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+
+    def run(frames):
+        fs, base = pafs.FileSystem.from_uri(folder if "://" in folder else f"file://{os.path.abspath(folder)}")
+        fs.create_dir(base, recursive=True)
+        for f in frames:
+            names = []
+            for full_name, kind, text in zip(f["full_name"], f["instr_kind"], f["line"], strict=True):
+                name = f"{base}/{full_name}_{kind}.json.gz"
+                temp = f"{base}/.{uuid.uuid4().hex}"
+                with fs.open_output_stream(temp, compression=None) as out:
+                    out.write(gzip.compress(text.encode(), mtime=0))
+                fs.move(temp, name)
+                names.append(name)
+            yield f[["full_name", "instr_kind"]].assign(file=names)
+
+    made = rows.select("full_name", "instr_kind", line.alias("line")).mapInPandas(run, "full_name string, instr_kind string, file string")
+    return rows.sparkSession.createDataFrame(made.collect(), "full_name string, instr_kind string, file string")
 
 
 def append_sheet(rows: DataFrame, path: str, kind: str = "parquet") -> None:
-    """Add rows to a sheet; as CSV every part has a header."""
+    """Add rows to a sheet: a table in a folder, or with kind `file` one CSV file with one header, for small results."""
+    if kind == "file":
+        new = not os.path.exists(path)
+        rows.toPandas().to_csv(path, mode="a", header=new, index=False)
+        return
     rows.write.mode("append").format(kind).options(**({"header": True} if kind == "csv" else {})).save(path)
 
 

@@ -1,8 +1,13 @@
 import difflib
 import gzip
 import json
+import math
 import random
+import threading
+import urllib.error
+from concurrent.futures import ThreadPoolExecutor
 from fractions import Fraction
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,13 +104,101 @@ def test_pairs_are_of_different_lines(spark):
 
 
 def test_snippets(spark):
-    df = spark.createDataFrame([(i, "\n".join(map(str, range(i)))) for i in range(40)], "i int, x string")
-    for r in df.select("i", sampling.snippet(F.col("x"), 1, F.col("i")).alias("s")).collect():
-        if r["i"] < 5:
-            assert r["s"] is None
-        else:
-            lines = list(map(int, r["s"].split("\n")))
-            assert 5 <= len(lines) <= min(15, r["i"]) and lines == list(range(lines[0], lines[0] + len(lines))) and lines[-1] < r["i"]
+    df = spark.createDataFrame([(i, "\n".join(map(str, range(i))) + "\n" * (i % 2)) for i in range(40)] + [(99, None)], "i int, x string")
+    found = {r["i"]: r["s"] for r in sampling.with_snippet(df, "x", 1, F.col("i"), "s").collect()}
+    assert sorted(found) == list(range(5, 40))
+    for i, s in found.items():
+        lines = list(map(int, s.split("\n")))
+        assert 5 <= len(lines) <= min(15, i) and lines == list(range(lines[0], lines[0] + len(lines))) and lines[-1] < i
+
+
+def test_texts_are_split_once(spark):
+    df = spark.createDataFrame([(1, "x")], "i int, x string")
+    plan = sampling.with_snippet(df, "x", 1, F.col("i"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+
+
+def test_large_topics_get_small_quotas(spark):
+    """Topics of over 10,000 rows are cut by hash first; none may come out short of a quota of one."""
+    rows = spark.range(1_300_000).selectExpr("id AS k", "id % 100 AS t")
+    for most in (1, 3):
+        got = sampling.balanced_sample(rows, "t", "k", 7, cap=most).groupBy("t").count().collect()
+        assert len(got) == 100 and {r["count"] for r in got} == {most}
+    # and the cut that is made leaves enough in the worst of cases
+    for quota in (1, 2, 10, 1000, 10**6):
+        mean = quota + 10 * math.sqrt(quota) + 60
+        assert math.exp(-((mean - quota) ** 2) / (2 * mean)) < 1e-14
+
+
+class Service(BaseHTTPRequestHandler):
+    """Answers the number of messages; busy at first, and refusing a certain text."""
+
+    seen: list = []
+
+    def do_POST(self):
+        body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+        Service.seen.append((self.headers["Authorization"], body))
+        text = body["messages"][-1]["content"]
+        status = {1: 429, 2: 503}.get(len(Service.seen), 400 if text == "bad" else 200)
+        self.send_response(status)
+        if status == 429:
+            self.send_header("Retry-After", "0")
+        self.end_headers()
+        if status == 200:
+            self.wfile.write(json.dumps({"choices": [{"message": {"content": f"{len(body['messages'])}:{text}"}, "finish_reason": "length" if text == "long" else "stop"}]}).encode())
+
+    def log_message(self, *args):
+        pass
+
+
+def test_http_client(monkeypatch, spark):
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        monkeypatch.setenv("SOME_KEY", "k1")
+        generate.register("local-model", f"http://127.0.0.1:{server.server_port}/v1", "SOME_KEY", seed=5)
+        client = generate.HttpClient.of("local-model")
+        s = generate.Sampling(wait=0, retries=3)
+        assert generate.call(client, [{"role": "user", "content": "hi"}], s, 1) == generate.Reply("1:hi")
+        assert len(Service.seen) == 3 and Service.seen[-1][0] == "Bearer k1"
+        assert Service.seen[-1][1] == {"model": "local-model", "messages": [{"role": "user", "content": "hi"}], "temperature": 0.8, "top_p": 0.95, "max_tokens": 2048, "seed": 5}
+        assert generate.call(client, [{"role": "user", "content": "long"}], s, 1).finish_reason == "length"
+        with pytest.raises(urllib.error.HTTPError):
+            generate.call(client, [{"role": "user", "content": "bad"}], s, 1)
+        prompts_ = spark.createDataFrame([(i, None, ["a", "b"]) for i in range(6)], "row_id long, system string, user array<string>")
+        rows = generate.dialogue(prompts_, client, sampling=s, max_samples=4).collect()
+        assert len(rows) == 4 and {(r["response_1"], r["response_2"]) for r in rows} == {("1:a", "3:b")}
+    finally:
+        server.shutdown()
+        server.server_close()
+    with pytest.raises(ConnectionError):
+        generate.call(generate.HttpClient("m", f"http://127.0.0.1:{server.server_port}/v1", "k", timeout=1), [{"role": "user", "content": "x"}], generate.Sampling(wait=0, retries=1), 1)
+    with pytest.raises(ValueError):
+        generate.provider("nobody")
+
+
+class Engine:
+    """Answers many prompts at once and tells how many."""
+
+    def complete_batch(self, chats, samples, **options):
+        return [generate.Reply(f"{c[-1]['content'][:1]}/{k}/{len(chats)}") for c, k in zip(chats, samples, strict=True)]
+
+
+def test_engines_get_batches_with_a_ragged_tail(spark):
+    with ThreadPoolExecutor(2) as pool:
+        chats = [[{"role": "user", "content": str(i)}] for i in range(10)]
+        got = generate.call_many(Engine(), chats, list(range(10)), generate.Sampling(batch=4), pool)
+    assert [r.text for r in got] == [f"{i}/{i}/{4 if i < 8 else 2}" for i in range(10)]
+    tasks = spark.createDataFrame([("p", "lazy", "old", "do")], "full_name string, instr_kind string, before string, instruction string").coalesce(1)
+    rows = generate.complete(tasks, "direct", Engine(), 5, generate.Sampling(batch=2)).collect()
+    assert [c.rsplit("/", 2)[1] for c in rows[0]["completions"]] == list("12345")
+
+
+def test_sheet_file_has_one_header(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a")], "n long, x string")
+    for _ in range(2):
+        io.append_sheet(rows, f"{tmp_path}/s.csv", "file")
+    assert (tmp_path / "s.csv").read_text() == "n,x\n1,a\n1,a\n"
 
 
 def test_mix_has_exact_quotas(spark):
