@@ -14,7 +14,7 @@ data.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -134,6 +134,20 @@ class Forest:
                 node = self.kids[np.arange(len(q)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(lo, many)]
 
 
+    def neighbours(self, radius: int, step: int = 512) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same pairs, all of a query at once."""
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        block = -1
+        for q, node in self.links(radius, step):
+            if int(q[0]) // step != block and held:
+                yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+                held = []
+            block = int(q[0]) // step
+            held.append((q, node))
+        if held:
+            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
 def roots(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """The least row each row is connected to."""
     top = np.arange(n)
@@ -186,36 +200,28 @@ def _finer(rows: DataFrame, keys: list[np.ndarray], radius: int, bits: int) -> D
     return rows.mapInArrow(run, "shard binary, node long, fp binary")
 
 
-def links(nodes: DataFrame, radius: int, bits: int, keys: list[np.ndarray], hot: int = HOT, every: bool = False) -> DataFrame:
-    """nodes (node long, fp binary, distinct) -> edges (a, b) that connect exactly the nodes linked in some shard; with
-    `every` all pairs of nodes within the radius, a < b, once for each task that finds them."""
+def shard_rows(nodes: DataFrame, radius: int, bits: int, keys: list[np.ndarray], hot: int) -> DataFrame:
+    """nodes (node long, fp binary) in their shards; shards of more than `hot` rows are cut, which changes the cost, not the result."""
     rows = _shards(nodes, keys)
     big = rows.groupBy("shard").count().filter(F.col("count") > hot).select("shard")
     big = materialise(big, "hot")
-    if big.limit(1).count():  # finer shards change the cost, not the result
-        rows = rows.join(big, "shard", "left_anti").unionByName(_finer(rows.join(big, "shard", "left_semi").select("shard", "node", "fp"), keys, radius, bits))
+    if not big.limit(1).count():
+        return rows
+    return rows.join(big, "shard", "left_anti").unionByName(_finer(rows.join(big, "shard", "left_semi").select("shard", "node", "fp"), keys, radius, bits))
+
+
+def by_shard(rows: DataFrame, solve: Callable[[pa.Table, Forest, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """`solve` over tables of whole shards, with their forest and the number of each row's shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
 
-        def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        def ready(t: pa.Table) -> Iterator[pa.RecordBatch]:
             shard = t.column("shard").combine_chunks().dictionary_encode()
             shard = (shard.combine_chunks() if isinstance(shard, pa.ChunkedArray) else shard).indices.to_numpy(zero_copy_only=False)
             fps = t.column("fp").to_pylist()
-            node = t.column("node").to_numpy()
             words = np.frombuffer(b"".join(fps), ">u8").astype(np.uint64).reshape(len(fps), -1)
-            forest = Forest(words, shard)
-            if every:
-                for x, y in forest.links(radius):
-                    pair = np.unique(np.sort(np.stack([node[x], node[y]], 1), 1), axis=0)
-                    pair = pair[pair[:, 0] < pair[:, 1]]
-                    if len(pair):
-                        yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], ["a", "b"])
-                return
-            top = roots(len(words), forest.links(radius))
-            own = np.flatnonzero(top != np.arange(len(top)))
-            if len(own):
-                yield pa.RecordBatch.from_arrays([pa.array(node[top[own]]), pa.array(node[own])], ["a", "b"])
+            yield from solve(t, Forest(words, shard), shard)
 
         def whole(final: bool) -> Iterator[pa.RecordBatch]:
             """Solve what is held but for the last shard, which may go on."""
@@ -231,7 +237,7 @@ def links(nodes: DataFrame, radius: int, bits: int, keys: list[np.ndarray], hot:
                 keep = pc.index(t.column("shard"), pa.scalar(last, t.schema.field("shard").type)).as_py()
                 held.append(t.slice(keep))
             if keep:
-                yield from solve(t.slice(0, keep))
+                yield from ready(t.slice(0, keep))
 
         for batch in batches:
             held.append(pa.Table.from_batches([batch]))
@@ -240,7 +246,48 @@ def links(nodes: DataFrame, radius: int, bits: int, keys: list[np.ndarray], hot:
         if held:
             yield from whole(True)
 
-    return rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "a long, b long")
+    return rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, schema)
+
+
+def links(nodes: DataFrame, radius: int, bits: int, keys: list[np.ndarray], hot: int = HOT) -> DataFrame:
+    """nodes (node long, fp binary, distinct) -> edges (a, b) that connect exactly the nodes linked in some shard."""
+
+    def solve(t: pa.Table, forest: Forest, shard: np.ndarray) -> Iterator[pa.RecordBatch]:
+        node = t.column("node").to_numpy()
+        top = roots(len(node), forest.links(radius))
+        own = np.flatnonzero(top != np.arange(len(top)))
+        if len(own):
+            yield pa.RecordBatch.from_arrays([pa.array(node[top[own]]), pa.array(node[own])], ["a", "b"])
+
+    return by_shard(shard_rows(nodes, radius, bits, keys, hot), solve, "a long, b long")
+
+
+def candidates(rows: DataFrame, radius: int, most: int) -> DataFrame:
+    """rows (shard, node, fp, part) -> (a, b): pairs of nodes of different parts within the radius in a shard, of each node the
+    `most` nearest among those before it; and (shard): shards in which a node has more."""
+
+    def solve(t: pa.Table, forest: Forest, shard: np.ndarray) -> Iterator[pa.RecordBatch]:
+        node, part = t.column("node").to_numpy(), t.column("part").to_numpy()
+        pairs: list[np.ndarray] = []
+        cut: list[np.ndarray] = []
+        for q, n in forest.neighbours(radius):
+            apart = part[q] != part[n]
+            q, n = q[apart], n[apart]
+            order = np.lexsort((n, forest.distance(q, n), q))
+            q, n = q[order], n[order]
+            head = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]])) if len(q) else np.zeros(0, np.int64)
+            place = np.arange(len(q)) - np.repeat(head, np.diff(np.append(head, len(q))))
+            keep = place < most
+            pairs.append(np.sort(np.stack([node[q[keep]], node[n[keep]]], 1), 1))
+            cut.append(np.unique(shard[q[~keep]]))
+        pair = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
+        more = np.unique(np.concatenate(cut)) if cut else np.zeros(0, np.int64)
+        first = np.searchsorted(shard, more)
+        names = t.column("shard").take(pa.array(first)).to_pylist()
+        blank = [None] * len(pair)
+        yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0].tolist() + [None] * len(more), pa.int64()), pa.array(pair[:, 1].tolist() + [None] * len(more), pa.int64()), pa.array(blank + names, pa.binary())], ["a", "b", "shard"])
+
+    return by_shard(rows, solve, "a long, b long, shard binary")
 
 
 def exact_keys(radius: int, bits: int = 64) -> list[np.ndarray]:
@@ -352,14 +399,33 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int,
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(alike, "a long, b long")
 
 
-def similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, seed: int = 42, hot: int = HOT) -> DataFrame:
+def similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, seed: int = 42, hot: int = HOT, most: int = 8) -> DataFrame:
     """doc_id, component_id of texts joined by links between texts whose sets of word shingles are `similarity` alike or more.
 
     Longer fingerprints only find candidates; a link is kept if the sets themselves are alike, so no text below the
-    threshold is linked, whatever the size of the table. Texts of the same words are one node and need no link.
+    threshold is linked, whatever the size of the table. Texts of the same words are one node and need no link. In a group of
+    many near copies not all pairs are tried: a node is tried with its `most` nearest, and only pairs that this leaves in
+    different parts are tried in further rounds, with eight times as many each, until none is left untried.
+
+    Null, empty and wordless texts are alike; texts of any length are compared whole. Every row gives a row; rows without a
+    doc_id link like others. An empty table gives no rows. Columns beside doc_id and text are not read, so none can clash.
     """
     bits, radius, keys = plan_for(similarity)
     prints = materialise(set_prints(docs, shingle, bits, seed), "prints")
     nodes = numbered(prints, "key", "fp")
-    pairs = materialise(links(nodes, radius, bits, keys, hot, every=True).distinct(), "pairs")
-    return grouped(prints, nodes, verified(docs, nodes, pairs, shingle, similarity, seed), "key").select("doc_id", "component_id")
+    rows, active, parts, tested, edges = shard_rows(nodes, radius, bits, keys, hot), None, None, None, None
+    while True:
+        if active is None:
+            open_ = rows.withColumn("part", F.col("node"))
+        else:
+            open_ = rows.join(active, "shard", "left_semi").join(parts.withColumnRenamed("label", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+        found = materialise(candidates(open_.select("shard", "node", "fp", "part"), radius, most), "found")
+        pairs = found.filter("a is not null").select("a", "b").distinct()
+        pairs = materialise(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        good = materialise(verified(docs, nodes, pairs, shingle, similarity, seed), "links")
+        tested, edges = (pairs, good) if tested is None else (tested.union(pairs), edges.union(good))
+        active = found.filter("shard is not null").select("shard").distinct()
+        if not active.limit(1).count():
+            return grouped(prints, nodes, edges, "key").select("doc_id", "component_id")
+        # what is linked needs no further link within; what is not is looked at again with more neighbours
+        parts, most = materialise(components(edges), "parts"), most * 8

@@ -1,4 +1,3 @@
-import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -9,14 +8,8 @@ SF = "/root/testdata/sf0.001"
 
 
 def plain_groups(rows, similarity):
-    """Least doc_id of the group of each row, by every pair of fingerprints."""
-    bits, radius, _ = simhash.plan_for(similarity, len(rows))
-    import xxhash
-
-    prints = {}
-    for doc, text in rows.items():
-        s = simhash.shingles((text or "").encode(), 5)
-        prints[doc] = int.from_bytes(simhash.majority(np.array([xxhash.xxh64_intdigest(x, 42) for x in s], np.uint64), bits), "big")
+    """Least doc_id of the group of each row, by the shingle sets of every pair; texts of the same words are one."""
+    sets = {d: (t.lower().split(), set(simhash.shingles((t or "").encode(), 5))) for d, t in rows.items()}
     top = {d: d for d in rows}
 
     def find(x):
@@ -27,9 +20,10 @@ def plain_groups(rows, similarity):
     ids = sorted(rows)
     for i, a in enumerate(ids):
         for b in ids[:i]:
-            if (prints[a] ^ prints[b]).bit_count() <= radius:
-                x, y = sorted((find(a), find(b)))
-                top[y] = x
+            (wa, x), (wb, y) = sets[a], sets[b]
+            if wa == wb or (x & y and len(x & y) / len(x | y) >= similarity):
+                low, high = sorted((find(a), find(b)))
+                top[high] = low
     return {d: find(d) for d in ids}
 
 

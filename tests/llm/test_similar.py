@@ -76,3 +76,34 @@ def test_documents_without_or_of_one_id(spark):
 def test_one_plan_for_tables_of_every_size():
     bits, radius, keys = simhash.plan_for(0.8)
     assert (bits, radius, len(keys)) == (320, 68, 26)
+
+
+def test_many_near_copies_are_joined_without_all_pairs(spark, monkeypatch):
+    """A ring of texts, each like its neighbours only, and a large group of copies that are all alike."""
+    rng = np.random.default_rng(6)
+    ring, words = [], [f"r{i}" for i in rng.integers(0, 10**6, 300)]
+    for i in range(40):
+        words = list(words)
+        words[i * 7 : i * 7 + 4] = [f"n{i}{k}" for k in range(4)]
+        ring.append(" ".join(words))
+    base = [f"b{i}" for i in rng.integers(0, 10**6, 300)]
+    copies = []
+    for i in range(300):
+        own = list(base)
+        own[int(rng.integers(300))] = f"c{i}"
+        copies.append(" ".join(own))
+    texts = ring + copies
+    tried = []
+    real = simhash.verified
+
+    def counted(docs, nodes, pairs, *more):
+        tried.append(pairs.count())
+        return real(docs, nodes, pairs, *more)
+
+    monkeypatch.setattr(simhash, "verified", counted)
+    for most in (1, 8, 10_000):
+        tried.clear()
+        got = {r["doc_id"]: r["component_id"] for r in simhash.similar(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), most=most).collect()}
+        assert [got[i] for i in range(len(texts))] == [0] * 40 + [40] * 300, most
+        if most < 10_000:
+            assert sum(tried) < 300 * 299 / 6
