@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from editloom.llm import stages
-from editloom.llm.common import forget, materialise, table
+from editloom.llm.common import delete, new_folder, table, temporary
 
 STAGES = [
     ("quality classifier", stages.good_quality),
@@ -24,10 +24,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage. What a stage writes for itself, and its predecessor's rows, are deleted as soon as its own
+    are written."""
     docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        made = materialise(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
+        folder = new_folder(spark, name.lower().replace(" ", "-"))
+        with temporary(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(folder)
         if last is not None:
-            forget(last)
-        docs = last = made
+            delete(spark, last)
+        docs, last = spark.read.schema(made.schema).parquet(folder), folder
     return docs

@@ -10,6 +10,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -49,16 +50,35 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, label)
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_written: list[str] = []  # folders of this driver that may still be there
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def forget(df: DataFrame) -> None:
     """Delete the files of a table made by materialise() that nothing reads any more."""
     spark = df.sparkSession
     files = df.inputFiles()
     if files:
-        path = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, str(spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent().toString()))
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what materialise() wrote within it. What is to stay is written elsewhere before."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        while len(_written) > before:
+            delete(spark, _written.pop())
 
 
 def map_arrow(df: DataFrame, block: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:

@@ -1,7 +1,10 @@
+import os
+
 import pytest
 
 import corpus_pipeline
 from editloom.llm import decontam, mil, pii, simhash, stages
+from editloom.llm.common import shared_dir
 from tests.llm.test_bpe import library  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
@@ -27,6 +30,10 @@ def plain_groups(rows, similarity):
     return {d: find(d) for d in ids}
 
 
+def folders(spark):
+    return set(os.listdir(shared_dir(spark).removeprefix("file://")))
+
+
 def test_rows_equal_a_plain_version(spark, library):  # noqa: F811
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = mil.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
@@ -38,7 +45,9 @@ def test_rows_equal_a_plain_version(spark, library):  # noqa: F811
     index = decontam.ContainmentIndex(items)
     rows = {d: t for d, t in rows.items() if not index.search([t.encode()])[0]}
     want = {d: library.encode_ordinary(pii.redact(t, pii.find(t))) for d, t in rows.items()}
+    before = folders(spark)
     got = {r["doc_id"]: r["token_ids"] for r in corpus_pipeline.run(spark, SF).collect()}
+    assert len(folders(spark) - before) == 1  # the last stage's rows alone are left
     assert got == want and 0 < len(got) < docs.count()
 
 
