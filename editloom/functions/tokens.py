@@ -10,9 +10,15 @@ from pyspark.sql import types as T
 
 #: only identifiers are kept, so operators need no entry
 CODE_STOP_WORDS = frozenset("and as assert break class continue def elif else except False finally for from global if import in is lambda None nonlocal not or pass print return self True try while with yield".split())
-#: a short list of our own; pass another as a parameter where a certain list is wanted
+#: the usual list of English function words, with the halves of contractions; pass another as a parameter where that is wanted
 ENGLISH_STOP_WORDS = frozenset(
-    "a about after all also an and any are as at be because been before but by can could did do does for from had has have he her here him his how i if in into is it its just me more most my no nor not now of on once only or other our out over own same she should so some such than that the their them then there these they this those through to too under until up very was we were what when where which while who whom why will with would you your".split()
+    (
+        "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its itself they them their theirs themselves "
+        "what which who whom this that these those am is are was were be been being have has had having do does did doing a an the and but if or because as until while "
+        "of at by for with about against between into through during before after above below to from up down in out on off over under again further then once here there "
+        "when where why how all any both each few more most other some such no nor not only own same so than too very can will just should now "
+        "s t d ll m o re ve y ma don ain aren couldn didn doesn hadn hasn haven isn mightn mustn needn shan shouldn wasn weren won wouldn"
+    ).split()
 )
 
 

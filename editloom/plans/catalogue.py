@@ -359,6 +359,16 @@ def diff_filter(spark, sf_dir):
     return stats.filter_by_diff(_neighbours(spark, sf_dir), "text", "new").select("doc_id")
 
 
+MANY = {"k": "doc_id % 90 + 1", "new": ADDED["new"].replace("doc_id % 5 + 1", "doc_id % 90 + 1")}
+
+
+@query
+def diff_filter_append(spark, sf_dir):
+    """Of texts with 1 to 90 lines more those of at most 70."""
+    return stats.filter_by_diff(docs(spark, sf_dir, **MANY), "text", "new").select("doc_id", F.col("k").cast("long").alias("k"))
+
+
+SQL["diff_filter_append"] = f"SELECT doc_id, k::BIGINT AS k FROM {made(**MANY)} WHERE k <= 70"
 CHANGES = {"modified_lines": "doc_id % 83 + 1", "hunks": "doc_id % 9 + 1"}
 
 
@@ -383,7 +393,11 @@ SQL["diff_histogram"] = " UNION ALL ".join(
 
 @query
 def excess_lines(spark, sf_dir):
-    return docs(spark, sf_dir, **ADDED).select("doc_id", diff.differ_lines("text", "new").alias("lines"), F.size(text.split_lines(F.col("text"))).alias("old_lines"))
+    return docs(spark, sf_dir, **ADDED).select("doc_id", diff.differ_lines("text", "new").alias("lines"), F.size(text.split_lines(F.col("text"))).cast("long").alias("old_lines"))
+
+
+# common lines and added ones; none is alike enough for a hint
+SQL["excess_lines"] = f"SELECT doc_id, (len({sql_lines('text')}) + k)::BIGINT AS lines, len({sql_lines('text')})::BIGINT AS old_lines FROM {made(**ADDED)}"
 
 
 # topics
@@ -463,6 +477,9 @@ def tokenize_code(spark, sf_dir):
     return part.select("p_partkey", F.array_join(tokens.identifiers(tokens.code_tokens(code)), " ").alias("tokens"))
 
 
+SQL["tokenize_code"] = "SELECT p_partkey, 'mytype get name of a b a b ' || lower(array_to_string(string_split(regexp_replace(p_name, '[^A-Za-z]+', '_', 'g'), '_'), ' ')) AS tokens FROM part"
+
+
 @query
 def tokenize_words(spark, sf_dir):
     ascii_only = F.regexp_replace("text", r"[^\x00-\x7f]", "e")
@@ -681,7 +698,12 @@ def excess_code(spark, sf_dir):
     rows = docs(spark, sf_dir, **ADDED)
     result = F.struct(F.lit("OK").alias("status"), (F.col("doc_id") % 4 == 3).cast("int").alias("exit_code"), F.col("new").alias("program_no_test"), F.when(F.col("doc_id") % 5 > 0, F.lit(90.0)).alias("coverage"), F.array(F.lit(1), F.lit(2)).alias("coverage_missing"))
     rows = rows.select(F.col("doc_id").alias("row_id"), F.col("text").alias("before"), F.lit(None).cast("double").alias("temperature"), F.array(result).alias("results"))
-    return evalmetrics.per_problem(rows).select("row_id", "n", "c", F.round("mean_excess", 9).alias("mean_excess"), "median_coverage", "temperature")
+    return evalmetrics.per_problem(rows).select("row_id", F.col("n").cast("long").alias("n"), F.col("c").cast("long").alias("c"), F.round("mean_excess", 9).alias("mean_excess"), "median_coverage", "temperature")
+
+
+_covered = "doc_id % 4 <> 3 AND doc_id % 5 > 0"
+SQL["excess_code"] = f"""SELECT doc_id AS row_id, 1::BIGINT AS n, (doc_id % 4 <> 3)::BIGINT AS c, CASE WHEN {_covered} THEN round(2 / (len({sql_lines('text')}) + k)::DOUBLE, 9) END AS mean_excess,
+ CASE WHEN {_covered} THEN 10.0::DOUBLE END AS median_coverage, 0.2::DOUBLE AS temperature FROM {made(**ADDED)}"""
 
 
 # generation
