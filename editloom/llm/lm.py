@@ -25,9 +25,10 @@ counts of all other words are joined, so that no word's count is left out.
 from __future__ import annotations
 
 import os
+import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
@@ -41,6 +42,8 @@ from pyspark.sql import functions as F
 
 from .bpe import read_ranks
 from .common import materialise, raw, slices, texts, tokenizer_file
+from .hashtable import HashTable
+from .wordhash import Words
 
 RANKS = 2047
 END, PAD, SIZE = RANKS, RANKS + 1, RANKS + 1  # END also stands for the start of a text; PAD is no id
@@ -51,8 +54,8 @@ DIM, FACTORS = 8, 8
 LAGS = 8  # words apart whose first subwords are counted together
 BEGIN_WEIGHT = 100.0  # of first subwords as such against what follows a certain last subword
 SPELL_WEIGHT = 5.0  # of second subwords as such against what follows a certain subword
-RATE, BATCH, ROUNDS = 0.03, 128, 1
-HOT_WORDS = 600_000  # words whose counts go to every task at most; all others are joined
+RATE, BATCH, ROUNDS, MOST = 0.04, 256, 1, 2.5
+HOT_WORDS = 500_000  # words whose counts go to every task at most; all others are joined
 END_WORD = b" "  # no word holds a space
 FLUSH = 1_000_000
 CHUNKS = 64  # parts of a table of pairs on its way
@@ -80,51 +83,95 @@ def word_ids(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(chain.from_iterable(ids), np.int32)
 
 
-class Numbers(dict):
-    """A word that is not there gets the next number and is noted."""
+GAP = re.compile(rb"[ \t-\r]")
+MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def pieces(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[list[bytes], list[int]]]:
+    """(parts of about `most` bytes together, the text each is of). A longer text is cut, never within a word."""
+    held: list[bytes] = []
+    of: list[int] = []
+    size = 0
+    for i, text in enumerate(texts):
+        at = 0
+        while True:
+            stop = len(text)
+            if stop - at > most and (m := GAP.search(text, at + most)):
+                stop = m.start()
+            held.append(text[at:stop] if at or stop < len(text) else text)
+            of.append(i)
+            size += stop - at
+            at = stop
+            if size >= most:
+                yield held, of
+                held, of, size = [], [], 0
+            if at >= len(text):
+                break
+    if held:
+        yield held, of
+
+
+class Edges:
+    """The first and last eight bytes of the words of some data, and their sizes: all there is of words of up to 16 bytes."""
+
+    def __init__(self, w: Words):
+        self.size = w.ends - w.starts
+        eight = np.ndarray((len(w.data) + 1,), "<u8", w.data + b"\0" * 8, strides=(1,))
+        self.head = eight[w.starts] & MASK[np.minimum(self.size, 8)]
+        self.tail = eight[np.maximum(w.ends - 8, 0)] * (self.size > 8)
 
-    def __init__(self, words: list[bytes]):
-        super().__init__(zip(words, range(len(words)), strict=True))
-        self.fresh: list[bytes] = []
 
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        self.fresh.append(word)
+class WordTable:
+    """Numbers, first and last ids of the hot words."""
+
+    def __init__(self, path: str, hot: list[bytes]):
+        self.path, self.words = path, hot
+        self.ids = word_ids(path, hot)
+        stop = np.cumsum(self.ids[0])
+        self.first, self.last = self.ids[1][stop - self.ids[0]], self.ids[1][stop - 1]
+        w = Words(hot)
+        self.places, self.edges = HashTable(w.hashes(), np.arange(1, len(hot) + 1)), Edges(w)
+
+    def numbers(self, w: Words) -> np.ndarray:
+        """Of each word, -1 for one that is not there. Hashes propose, bytes decide."""
+        n = self.places.find(w.hashes()).astype(np.int64) - 1
+        if not self.words:
+            return n
+        e = Edges(w)
+        n[(e.size != self.edges.size[n]) | (e.head != self.edges.head[n]) | (e.tail != self.edges.tail[n])] = -1
+        for i in np.flatnonzero((n >= 0) & (e.size > 16)).tolist():
+            if w.data[w.starts[i] : w.ends[i]] != self.words[n[i]]:
+                n[i] = -1
         return n
 
 
 class Block:
-    """Words of some documents. number: of each document's words, END behind each; from `hot` on words beyond the table.
-    first, last: ids by number, END at the end, for number -1; size: tokens of each document."""
-
-    def __init__(self, table: WordTable, docs: list[list[bytes]]):
-        numbers, hot = table.numbers, len(table.first)
-        size = np.fromiter(map(len, docs), np.int64, len(docs))
-        flat = np.fromiter(map(numbers.__getitem__, chain.from_iterable(docs)), np.int64, int(size.sum()))
-        self.fresh, numbers.fresh = numbers.fresh, []
-        for w in self.fresh:
-            del numbers[w]
+    """Words of some texts. number: of each text's words, END behind each; from `hot` on words beyond the table. first, last:
+    ids by number, END at the end, for number -1; size: tokens of each text."""
+
+    def __init__(self, table: WordTable, texts: list[bytes]):
+        self.hot = len(table.words)
+        fresh: dict[bytes, int] = {}
+        numbers, size = [], np.zeros(len(texts), np.int64)
+        for parts, of in pieces(texts):
+            w = Words(parts)
+            n = table.numbers(w)
+            miss = np.flatnonzero(n < 0)
+            n[miss] = [self.hot + fresh.setdefault(w.data[a:b], len(fresh)) for a, b in zip(w.starts[miss].tolist(), w.ends[miss].tolist(), strict=True)]
+            numbers.append(n)
+            np.add.at(size, of, np.diff(w.first))
+        self.fresh = list(fresh)
         ids = word_ids(table.path, self.fresh)
         stop = np.cumsum(ids[0])
         self.first = np.concatenate([table.first, ids[1][stop - ids[0]], [END]])
         self.last = np.concatenate([table.last, ids[1][stop - 1], [END]])
-        self.ids, self.hot, self.size = ids, hot, size + 1
-        self.number = np.insert(flat, np.cumsum(size), -1)
+        self.ids, self.size = ids, size + 1
+        self.number = np.insert(np.concatenate(numbers), np.cumsum(size), -1)
 
     def windows(self) -> Windows:
         return Windows(self)
 
 
-class WordTable:
-    """Numbers, first and last ids of the hot words."""
-
-    def __init__(self, path: str, hot: list[bytes]):
-        self.path, self.numbers = path, Numbers(hot)
-        self.ids = word_ids(path, hot)
-        stop = np.cumsum(self.ids[0])
-        self.first, self.last = self.ids[1][stop - self.ids[0]], self.ids[1][stop - 1]
-
-
 class Windows:
     """A block's tokens in rows of STRIDE; every document starts a row. key, query, seen: windows of first ids, last ids and
     numbers of what is before each token; outcome: number of each token (-1: the end), place: where each token is."""
@@ -216,7 +263,7 @@ class Learned:
     def like(self, flat: np.ndarray) -> Learned:
         out, at = {}, 0
         for n, x in vars(self).items():
-            out[n] = flat[at : at + x.size].reshape(x.shape).astype(np.float32)
+            out[n] = flat[at : at + x.size].reshape(x.shape).astype(np.float32, copy=False)
             at += x.size
         return Learned(**out)
 
@@ -235,26 +282,29 @@ class Attention:
         gate = 1 / (1 + np.exp(-learned.gate))
         gate[END] = 0  # nothing to point at
         self.gate = gate.astype(np.float32)
-        self.mixed = (tables.mixtures * (1 - self.gate)[:, None]).astype(np.float32)
-        self.own = np.exp(np.minimum(learned.own, 30))
+        mixed = tables.mixtures * (1 - self.gate)[:, None]
+        self.mixed = np.concatenate([mixed, np.ones((SIZE + 1, 1))], 1).astype(np.float32)  # the last sums the weights
+        self.own = np.exp(learned.own)
 
     def weights(self, key: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Unnormalised attention to positions (windows, STRIDE, SPAN) and to the slot (windows, STRIDE)."""
         s = np.matmul(self.rows[query], self.columns[key].transpose(0, 2, 1))
         s += self.bias
-        np.minimum(s, 30.0, out=s)
         return np.exp(s, out=s), self.own[query]
 
-    def masses(self, key: np.ndarray, query: np.ndarray, seen: np.ndarray, begin: np.ndarray, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(probability that a word begins as the outcome does and is completed, probability that it is pointed at)."""
+    def forward(self, key: np.ndarray, query: np.ndarray, seen: np.ndarray, begin: np.ndarray, outcome: np.ndarray) -> dict[str, np.ndarray]:
+        """e, slot and their total; begins, pointed: probability that a word begins as the outcome does and is completed, and
+        that it is pointed at; slots: the slot's part of begins; at, row, own: where an outcome was seen in the window, among
+        all weights, among all tokens and among all keys."""
         e, slot = self.weights(key, query)
-        total = e.sum(2) + slot
         mixed = np.matmul(e, self.mixed[key])
-        begins = np.einsum("nrf,nrf->nr", mixed, self.t.factors[begin])
-        begins += slot * self.t.begins[np.minimum(query, END), begin]
-        w, r, j = np.nonzero(seen[:, None, :] == outcome[:, :, None])
-        pointed = np.bincount(w * STRIDE + r, e[w, r, j] * self.gate[key[w, j]], total.size).reshape(total.shape)
-        return begins / total, pointed / total
+        total = mixed[:, :, -1] + slot
+        slots = self.t.begins[np.minimum(query, END), begin]
+        begins = np.einsum("nrf,nrf->nr", mixed[:, :, :-1], self.t.factors[begin]) + slot * slots
+        at = np.flatnonzero(seen[:, None, :] == outcome[:, :, None])
+        row, own = at // SPAN, at // (STRIDE * SPAN) * SPAN + at % SPAN
+        pointed = np.bincount(row, e.ravel()[at] * self.gate[key.ravel()[own]], total.size).reshape(total.shape)
+        return {"e": e, "slot": slot, "total": total, "slots": slots, "begins": begins / total, "pointed": pointed / total, "at": at, "row": row, "own": own}
 
     def score(self, block: Block, log_completion: np.ndarray, log_unit: np.ndarray, log_spelled: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(log10 probability of each document without its words beyond the table, and of those words, in order, the token's
@@ -263,7 +313,8 @@ class Attention:
         begins, pointed = np.empty(x.query.shape), np.empty(x.query.shape)
         for a in range(0, len(x.query), 256):
             s = slice(a, a + 256)
-            begins[s], pointed[s] = self.masses(x.key[s], x.query[s], x.seen[s], x.begin[s], x.outcome[s])
+            o = self.forward(x.key[s], x.query[s], x.seen[s], x.begin[s], x.outcome[s])
+            begins[s], pointed[s] = o["begins"], o["pointed"]
         begins, pointed = np.log10(begins.reshape(-1)[x.place]), pointed.reshape(-1)[x.place]
         tail = np.flatnonzero(block.number >= block.hot)
         lp = begins + log_completion[np.where(block.number < block.hot, block.number, -1)]
@@ -286,38 +337,36 @@ def completions(t: Tables, first: np.ndarray, count: np.ndarray, spelling: np.nd
 
 def gradients(model: Attention, x: tuple[np.ndarray, ...], completion: np.ndarray, real: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """(mean loss in nats over the real tokens, its gradient by what is learned)."""
-    key, query, seen, begin, outcome = x
+    key, query, _, begin, _ = x
     p, t, many = model.p, model.t, max(1, int(real.sum()))
-    e, slot = model.weights(key, query)
-    total = (e.sum(2) + slot)[:, :, None]
-    e /= total
-    slot = slot / total[:, :, 0]
-    gate = model.gate[key][:, None, :]
-    topic = np.matmul(t.factors[begin], t.mixtures[key].transpose(0, 2, 1))
-    topic *= completion[:, :, None]
-    # value = (1 - gate) topic + gate same
-    same = (seen[:, None, :] == outcome[:, :, None]).astype(np.float32)
-    same -= topic
-    value = topic
-    value += gate * same
-    own = t.begins[np.minimum(query, END), begin] * completion
-    prob = np.maximum((e * value).sum(2) + slot * own, 1e-30)
-    scale = (real / many / prob).astype(np.float32)
-    e *= scale[:, :, None]
-    g_gate = -(e * same).sum(1) * (gate * (1 - gate))[:, 0]
+    o = model.forward(*x)
+    prob = np.maximum(o["begins"] * completion + o["pointed"], 1e-30)
+    scale = (real / (many * prob * o["total"])).astype(np.float32)
+    a = o["e"]
+    a *= scale[:, :, None]  # what a unit of value gives to the loss, negative
+    keys, gate = model.mixed[key], model.gate[key]
+    value = np.matmul(t.factors[begin] * completion[:, :, None], keys[:, :, :-1].transpose(0, 2, 1))
+    at, own = o["at"], o["own"]
+    pointing = np.bincount(own, a.ravel()[at], key.size).reshape(key.shape)
+    value.reshape(-1)[at] += gate.ravel()[own]
+    prob = prob.astype(np.float32)
     value -= prob[:, :, None]
-    value *= e
-    g = np.negative(value, out=value)
+    value *= a
+    down = value.sum(1)  # of each key
+    # values summed over queries, less what was pointed at: (1 - gate) times the topics
+    topics = down + np.matmul(prob[:, None, :], a)[:, 0] - gate * pointing
+    g_gate = -gate * ((1 - gate) * pointing - topics)
     flat_q, flat_k = query.ravel(), key.ravel()
     by = lambda ids, v: np.bincount(ids, v, SIZE + 1).astype(np.float32)
-    gq, gk = np.matmul(g, p.k[key]).reshape(-1, DIM), np.matmul(g.transpose(0, 2, 1), p.q[query]).reshape(-1, DIM)
+    gq = np.ascontiguousarray(np.matmul(value, p.k[key]).reshape(-1, DIM).T)
+    gk = np.ascontiguousarray(np.matmul(value.transpose(0, 2, 1), p.q[query]).reshape(-1, DIM).T)
     grad = {
-        "q": np.stack([by(flat_q, gq[:, d]) for d in range(DIM)], 1),
-        "k": np.stack([by(flat_k, gk[:, d]) for d in range(DIM)], 1),
-        "b": by(flat_k, g.sum(1).ravel()),
-        "own": by(flat_q, (-slot * scale * (own - prob)).ravel()),
+        "q": -np.stack([by(flat_q, v) for v in gq], 1),
+        "k": -np.stack([by(flat_k, v) for v in gk], 1),
+        "b": -by(flat_k, down.ravel()),
+        "own": by(flat_q, (-o["slot"] * scale * (o["slots"] * completion - prob)).ravel()),
         "gate": by(flat_k, g_gate.ravel()),
-        "pos": np.bincount(np.clip(LAG, 0, SPAN - 1).ravel(), np.where(LAG >= 0, g.sum(0), 0).ravel(), SPAN).astype(np.float32),
+        "pos": -np.bincount(np.clip(LAG, 0, SPAN - 1).ravel(), np.where(LAG >= 0, value.sum(0), 0).ravel(), SPAN).astype(np.float32),
     }
     grad["gate"][END] = 0
     return float(-(np.log(prob) * real).sum() / many), grad
@@ -326,8 +375,10 @@ def gradients(model: Attention, x: tuple[np.ndarray, ...], completion: np.ndarra
 class Adam:
     def __init__(self, tables: Tables, learned: Learned, rate: float):
         self.tables, self.learned, self.rate, self.step = tables, learned, rate, 0
-        self.m = {n: np.zeros_like(v) for n, v in vars(learned).items()}
-        self.v = {n: np.zeros_like(v) for n, v in vars(learned).items()}
+        self.flat = learned.flat()
+        self.m, self.v = np.zeros_like(self.flat), np.zeros_like(self.flat)
+        # sums of products stay below what exp of a 32-bit float holds
+        self.most = np.concatenate([np.full(x.size, MOST if n in ("q", "k") else 6.0, np.float32) for n, x in vars(learned).items()])
 
     def windows(self, x: Windows, completion: np.ndarray) -> None:
         """One pass over the windows, in an order of their own."""
@@ -335,15 +386,16 @@ class Adam:
         for a in range(0, len(order), BATCH):
             s = order[a : a + BATCH]
             _, grad = gradients(Attention(self.tables, self.learned), (x.key[s], x.query[s], x.seen[s], x.begin[s], x.outcome[s]), completion[s], x.real[s])
+            g = np.concatenate([grad[n].ravel() for n in vars(self.learned)])
             self.step += 1
-            out = {}
-            for n, g in grad.items():
-                self.m[n] += 0.1 * (g - self.m[n])
-                self.v[n] += 0.01 * (g * g - self.v[n])
-                rate = self.rate / (1 - 0.9**self.step)
-                new = getattr(self.learned, n) - rate * self.m[n] / (np.sqrt(self.v[n] / (1 - 0.99**self.step)) + 1e-8)
-                out[n] = np.clip(new, -6, 6).astype(np.float32)
-            self.learned = Learned(**out)
+            self.m += np.float32(0.1) * (g - self.m)
+            g *= g
+            self.v += np.float32(0.01) * (g - self.v)
+            down = np.sqrt(self.v * np.float32(1 / (1 - 0.99**self.step)))
+            down += np.float32(1e-8)
+            self.flat -= np.float32(self.rate / (1 - 0.9**self.step)) * self.m / down
+            np.maximum(np.minimum(self.flat, self.most, out=self.flat), -self.most, out=self.flat)
+            self.learned = self.learned.like(self.flat)
 
 
 def build(first: np.ndarray, kinds: np.ndarray, pairs: np.ndarray, across: np.ndarray, far: np.ndarray) -> Tables:
@@ -414,7 +466,7 @@ PART = "part int, counts binary"
 class Tally:
     """Tables of counts in memory, and on their way as packed parts that are summed before they reach the driver."""
 
-    def __init__(self, *kinds: int, most: int = 1 << 22):
+    def __init__(self, *kinds: int, most: int = 1 << 20):
         self.count = {k: np.zeros(int(np.prod(SHAPES[k])), np.int64) for k in kinds}
         self.held: dict[int, list[np.ndarray]] = {k: [] for k in kinds}
         self.size, self.most = dict.fromkeys(kinds, 0), most
@@ -495,12 +547,11 @@ def kept(key: str, path: str, words: list[bytes]) -> WordTable:
     return _tables[key]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], table: WordTable) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]], Block]]:
+def blocks(batches: Iterator[pa.RecordBatch], table: WordTable) -> Iterator[tuple[pa.RecordBatch, Block]]:
     for batch in batches:
         for part in slices(batch):
-            docs = [t.lower().split() for t in raw(part.column("text"))]
-            if docs:
-                yield part, docs, Block(table, docs)
+            if part.num_rows:
+                yield part, Block(table, raw(part.column("text")))
 
 
 def pairs_in_texts(training: DataFrame, shipped, path: str, key: str) -> DataFrame:
@@ -508,7 +559,7 @@ def pairs_in_texts(training: DataFrame, shipped, path: str, key: str) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally(ACROSS, FAR)
-        for _, _, block in blocks(batches, kept(key, path, shipped.value[0])):
+        for _, block in blocks(batches, kept(key, path, shipped.value[0])):
             first, last = block.first[block.number].astype(np.int64), block.last[block.number].astype(np.int64)
             start = np.cumsum(block.size) - block.size
             before = np.empty_like(last)
@@ -557,7 +608,7 @@ def learn(training: DataFrame, shipped, tables, path: str, key: str, rounds: int
             t, table = tables.value, kept(key, path, words)
             adam, windows = Adam(t, now, speed), 0
             hot = 10 ** completions(t, table.first, n, t.spelling(*table.ids))
-            for _, _, block in blocks(batches, table):
+            for _, block in blocks(batches, table):
                 fresh = 10 ** completions(t, block.first[block.hot : -1], tail, t.spelling(*block.ids))
                 x = block.windows()
                 share = np.concatenate([hot, fresh, [1.0]])[x.outcome].astype(np.float32)
@@ -620,14 +671,14 @@ def score(docs: DataFrame, path: str | None = None, hot_words_: int = HOT_WORDS,
         with np.errstate(divide="ignore"):
             log_unit = np.log10(t.unit)
         row = TaskContext.get().partitionId() << 33
-        for part, docs_, block in blocks(batches, table):
+        for part, block in blocks(batches, table):
             first = block.first[block.hot : -1]
             scores, tail, unit, rest = model.score(block, log_completion, log_unit[first], t.spelled[first] + t.spelling(*block.ids))
             start = np.cumsum(block.size) - block.size
             known = block.number < block.hot
             base = np.add.reduceat(np.where(known, logs[np.where(known, block.number, -1)], 0.0), start)
             n_known = np.add.reduceat(known & (block.number >= 0), start) + (ends > 0)
-            of = row + np.arange(len(docs_))
+            of = row + np.arange(part.num_rows)
             own = np.repeat(of, block.size)[tail]
             nothing = pa.nulls(len(tail))
             columns = {
@@ -638,7 +689,7 @@ def score(docs: DataFrame, path: str | None = None, hot_words_: int = HOT_WORDS,
             for c in names:
                 head = part.column(c) if c in ("doc_id", "held_out") else pa.array(columns[c], kinds[c])
                 columns[c] = pa.concat_arrays([head, nothing.cast(kinds[c])])
-            row += len(docs_)
+            row += part.num_rows
             yield pa.RecordBatch.from_arrays([columns[k].cast(x) for k, x in kinds.items()], list(kinds))
 
     flat = rows.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, word binary, unit double, rest double")

@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -84,7 +85,7 @@ class Trained:
         return out
 
     def score(self, docs):
-        block = lm.Block(self.table, docs)
+        block = lm.Block(self.table, [b" ".join(d) for d in docs])
         first = block.first[block.hot : -1]
         done = np.append(lm.completions(self.tables, self.table.first, self.n, self.tables.spelling(*self.table.ids)), 0.0)
         with np.errstate(divide="ignore"):
@@ -153,7 +154,7 @@ def test_probabilities_of_all_words_add_up(trained):
 
 def test_gradients_equal_differences(trained):
     docs = [[trained.words[i] for i in (0, 5, 0, 9, 9, 2, 5, 7) * 5], [trained.words[3]]]
-    block = lm.Block(trained.table, docs)
+    block = lm.Block(trained.table, [b" ".join(d) for d in docs])
     x = block.windows()
     parts = (x.key, x.query, x.seen, x.begin, x.outcome)
     done = np.append(10 ** lm.completions(trained.tables, trained.table.first, trained.n, trained.tables.spelling(*trained.table.ids)), 1.0)[x.outcome].astype(np.float32)
@@ -196,7 +197,7 @@ def test_whole_texts_are_counted_and_learned_from(spark):
     far = sum(max(0, n - d) for n in (1001, 1, 3) for d in range(1, lm.LAGS + 1))
     assert t.made[lm.FAR].sum() == far
     assert t.made[lm.FIRST].sum() == 1002 + 3 and t.made[lm.KINDS].sum() == 503
-    block = lm.Block(t.table, [words(LONG), [], [b"a", b"b"]])
+    block = lm.Block(t.table, [LONG.encode(), b"", b"a b"])
     x = block.windows()
     assert x.real.sum() == 1005 and sorted(x.outcome[x.real].tolist()) == sorted(block.number.tolist())
     numbers = block.number[:1001].tolist()
@@ -207,6 +208,34 @@ def test_whole_texts_are_counted_and_learned_from(spark):
         assert x.seen[k].tolist() == (want + [-2] * lm.SPAN)[: lm.SPAN]
 
 
+def test_numbers_of_words_equal_a_plain_lookup(monkeypatch):
+    rng = random.Random(4)
+    hot = [bytes(rng.choices(b"ab\xc3\xa9z", k=rng.randrange(1, 30))) for _ in range(3000)]
+    hot = [w for w in dict.fromkeys(hot) if _utf8(w)]
+    table = lm.WordTable(PATH, hot)
+    some = hot + [w + b"q" for w in hot[:500]] + [w[:20] + b"#" + w[21:] for w in hot if len(w) > 22]
+    texts_ = [b"".join(rng.choice(some).upper() + rng.choice([b" ", b"\n\t", b"\x0b"]) for _ in range(rng.randrange(300))) for _ in range(40)] + [b"", b"  ", b"x" * 5000]
+    for most in (1 << 20, 50):
+        monkeypatch.setattr(lm.pieces, "__defaults__", (most,))
+        block = lm.Block(table, texts_)
+        place = dict(zip(hot, range(len(hot)), strict=True))
+        at = 0
+        for t, size in zip(texts_, block.size.tolist(), strict=True):
+            own = t.lower().split()
+            assert size == len(own) + 1 and block.number[at + size - 1] == -1
+            got = [block.fresh[n - block.hot] if n >= block.hot else hot[n] for n in block.number[at : at + size - 1].tolist()]
+            assert got == own and all((n < block.hot) == (w in place) for n, w in zip(block.number[at : at + size - 1].tolist(), own, strict=True))
+            at += size
+
+
+def _utf8(word):
+    try:
+        word.decode()
+    except UnicodeDecodeError:
+        return False
+    return word == word.lower()
+
+
 def test_hot_words_are_those_of_great_counts(spark):
     counts = spark.createDataFrame([(bytearray(b"w%d" % i), n) for i, n in enumerate([10**6, 10**6, 200_000, 7, 7, 7, 3, 3, 1])] + [(bytearray(lm.END_WORD), 5)], "word binary, n long")
     for most, want in ((9, 9), (8, 8), (7, 6), (6, 6), (5, 3), (3, 3), (2, 0)):
