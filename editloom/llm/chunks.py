@@ -30,31 +30,34 @@ class ChunkEncoder:
         self.first: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
 
-    def _learn(self, kept: dict[str, bytes], seen: set[str], space: str) -> list[str]:
-        """Put every chunk seen into the table; returns those for which there was no room, to be taken out again."""
-        fresh = [x for x in seen if x not in kept]
-        if not fresh:
-            return []
+    def _learn(self, kept: dict[str, bytes], missing: set[str], space: str) -> dict[str, bytes]:
+        """ids of the missing chunks; those that are short enough are kept as long as there is room."""
+        if not missing:
+            return {}
+        chunks = list(missing)
+        new = dict(zip(chunks, self.encode([space + x for x in chunks]), strict=True))
         room = self.most - len(kept)
-        kept.update(zip(fresh, self.encode([space + x for x in fresh]), strict=True))
-        if room >= len(fresh):
-            return [x for x in fresh if len(x) > self.longest]
-        stay = set(islice((x for x in fresh if len(x) <= self.longest), max(0, room)))
-        return [x for x in fresh if x not in stay]
+        if room > 0:
+            kept.update(islice(((x, ids) for x, ids in new.items() if len(x) <= self.longest), room))
+        return new
 
     def block(self, texts: list[str]) -> list[bytes]:
         chunks = [cut(x) for x in texts]
-        heads, rest = {c[0] for c in chunks}, set()
+        get, rows, short = self.inner.get, [], []
+        heads, rest = set(), set()
         for c in chunks:
-            rest.update(c)
-        out_first, out_inner = self._learn(self.first, heads, ""), self._learn(self.inner, rest, " ")
-        get = self.inner.__getitem__
-        out = []
-        for c in chunks:
-            ids = [self.first[c[0]]]
-            ids.extend(map(get, c[1:]))
-            out.append(b"".join(ids))
-        for kept, gone in ((self.first, out_first), (self.inner, out_inner)):
-            for x in gone:
-                del kept[x]
-        return out
+            ids = list(map(get, c))
+            ids[0] = self.first.get(c[0])
+            if None in ids:
+                short.append(len(rows))
+                if ids[0] is None:
+                    heads.add(c[0])
+                rest.update([x for x, i in zip(islice(c, 1, None), islice(ids, 1, None), strict=True) if i is None])
+            rows.append(ids)
+        first, inner = self._learn(self.first, heads, ""), self._learn(self.inner, rest, " ")
+        for k in short:
+            c, ids = chunks[k], rows[k]
+            if ids[0] is None:
+                ids[0] = first[c[0]]
+            rows[k] = ids[:1] + [inner[x] if i is None else i for x, i in zip(islice(c, 1, None), islice(ids, 1, None), strict=True)]
+        return [b"".join(ids) for ids in rows]

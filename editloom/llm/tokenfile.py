@@ -18,6 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import regex
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -34,6 +35,26 @@ FRAME_BYTES = 256 * 1024
 KEPT = 800_000  # chunks a worker keeps, about 200 MB
 SPACE_MARK = "\u0120"  # a space in the vocabulary's spelling of bytes
 NO_ID = -(2**63)  # stands for a null doc_id in the index
+PLAIN = "ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)"
+WORD_AND_SIGNS = regex.compile(r"( \p{L}+)([^\s\p{L}\p{N}']*)(?:(\n)(\p{L}+)([^\s\p{L}\p{N}']*))?")
+
+
+def spelling() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if it can be seen, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+def letter_and_space(token: str, spelled: dict[int, str]) -> bool:
+    """Whether a token, in the vocabulary's spelling of bytes, may have a space behind a letter."""
+    if SPACE_MARK not in token.lstrip(SPACE_MARK):
+        return False
+    back = {c: b for b, c in spelled.items()}
+    try:
+        return regex.search(r"\p{L} ", bytes(back[c] for c in token).decode()) is not None
+    except (KeyError, UnicodeDecodeError):
+        return True
 
 
 class TokenFileWriter:
@@ -150,33 +171,55 @@ def text_encoder(path: str, dtype: str) -> TextEncoder:
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
+    vocab = tok.get_vocab(with_added_tokens=False)
     marks = np.zeros(tok.get_vocab_size(with_added_tokens=True), bool)  # tokens that start with a space
-    for token, k in tok.get_vocab(with_added_tokens=True).items():
+    for token, k in vocab.items():
         marks[k] = token.startswith(SPACE_MARK)
+    spelled = spelling()
+    # words behind a space can go to the model many at a time where its input is made as here and no token holds a space
+    # behind a letter, so that none reaches into the next word
+    plain = tok.normalizer is None and str(tok.pre_tokenizer) == PLAIN and not any(letter_and_space(t, spelled) for t in vocab)
     size = np.dtype(dtype).itemsize
 
-    def encode(chunks: list[str]) -> list[bytes]:
-        """Chunks of one leading space are encoded many in a text, which the tokens with a space cut again."""
-        out: list[bytes] = [b""] * len(chunks)
-        plain = [i for i, x in enumerate(chunks) if x[:1] == " " and len(x) > 1 and x.count(" ") == 1 and not x[1].isspace() and not x[-1].isspace()]
-        for k in range(0, len(plain), 500):
-            some = plain[k : k + 500]
-            ids = np.array(tok.encode_batch_fast(["".join([chunks[i] for i in some])], add_special_tokens=False)[0].ids, dtype)
+    def by_library(chunks: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype).tobytes() for e in tok.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def words(fresh: list[str]) -> list[bytes]:
+        """Each a space and letters."""
+        out: list[bytes] = []
+        for k in range(0, len(fresh), 500):
+            some = fresh[k : k + 500]
+            made = tok.model.tokenize("".join(some).encode().decode("latin-1").translate(spelled))
+            ids = np.fromiter([t.id for t in made], dtype, len(made))
             starts = np.flatnonzero(marks[ids])
             if len(starts) != len(some):  # not met, but nothing may depend on it
-                for i in some:
-                    out[i] = np.array(tok.encode(chunks[i], add_special_tokens=False).ids, dtype).tobytes()
+                out += by_library(some)
                 continue
-            data, ends = ids.tobytes(), [*(starts[1:] * size).tolist(), len(ids) * size]
-            for i, a, b in zip(some, (starts * size).tolist(), ends, strict=True):
-                out[i] = data[a:b]
-        done = set(plain)
-        for i, x in enumerate(chunks):
-            if i not in done:
-                out[i] = np.array(tok.encode(x, add_special_tokens=False).ids, dtype).tobytes()
+            data, at = ids.tobytes(), [*(starts * size).tolist(), len(ids) * size]
+            out += [data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
         return out
 
-    return TextEncoder(tok, ChunkEncoder(encode, KEPT), dtype)
+    def encode(chunks: list[str]) -> list[bytes]:
+        """Words of letters behind a space go to the model. The signs that end them, and a line that begins behind, are cut off
+        as every pre-tokenizer of this kind cuts them, and go to the library, as all other chunks do."""
+        found = [WORD_AND_SIGNS.fullmatch(x) for x in chunks] if plain else [None] * len(chunks)
+        parts = [[x] if m is None else [p for p in m.groups() if p] for x, m in zip(chunks, found, strict=True)]
+        known: dict[str, bytes] = {}
+        fresh, others = {}, {}
+        for own, m in zip(parts, found, strict=True):
+            for k, p in enumerate(own):
+                if k or m is None:
+                    others[p] = None
+                elif (ids := enc.inner.get(p[1:])) is not None:
+                    known[p] = ids
+                else:
+                    fresh[p] = None
+        known.update(zip(fresh, words(list(fresh)), strict=True))
+        known.update(zip(others, by_library(list(others)), strict=True))
+        return [known[own[0]] if len(own) == 1 else b"".join([known[p] for p in own]) for own in parts]
+
+    enc = ChunkEncoder(encode, KEPT)
+    return TextEncoder(tok, enc, dtype)
 
 
 def write_tokens(docs: DataFrame, folder: str | None = None, path: str | None = None, end_id: int = 2, files: int | None = None) -> tuple[str, DataFrame]:

@@ -1,4 +1,5 @@
 import io
+import random
 import zlib
 
 import numpy as np
@@ -76,6 +77,15 @@ def test_names_of_added_tokens_are_read_as_the_library_does(spark):
     assert got == dict(enumerate(library_ids(texts))) and 50256 in got[0]
 
 
+def test_random_texts_equal_the_library(spark):
+    rng = random.Random(7)
+    pieces = ["a", "The", "été", "ß", "日本", "1", "42", "'", "'s", "n't", ",", ".", "!!", "$", "\n", "\n\n", " ", "  ", "\t", "\u00a0", "word", "Übung", "²", "\u0301", "<|endoftext|>", "x" * 30]
+    texts = ["".join(rng.choices(pieces, [4 if p in (" ", "word", "a", "The") else 1 for p in pieces], k=rng.randrange(60))) for _ in range(3000)]
+    folder, manifest = tokenfile.write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), files=3)
+    got = {r["doc_id"]: r["ids"] for r in tokenfile.read_tokens(folder, manifest).collect()}
+    assert got == dict(enumerate(library_ids(texts)))
+
+
 def test_ids_come_back(spark, docs):
     folder, manifest = tokenfile.write_tokens(docs, files=3)
     got = {r["doc_id"]: r["ids"] for r in tokenfile.read_tokens(folder, manifest).collect()}
