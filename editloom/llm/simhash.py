@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, map_arrow, materialise, raw, texts
+from .common import map_arrow, materialise, raw, texts
 from .components import components
 
 HOT = 20_000
