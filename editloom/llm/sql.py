@@ -18,13 +18,17 @@ DOCS = "(SELECT *, row_number() OVER () AS rid FROM (SELECT doc_id, coalesce(tex
 def suffix_repeats(size: int = suffix.MIN_BYTES) -> str:
     """Every string of `size` bytes by its md5; bytes as pairs of hexadecimal digits."""
     return f"""WITH d AS MATERIALIZED (SELECT rid, doc_id, hex(encode(text)) AS h, octet_length(encode(text)) AS n FROM {DOCS}),
- b AS (SELECT rid, n, h, unnest(range(1, n + 1)) AS p FROM d),
- w AS (SELECT rid, p, substr(h, 2 * p - 1, 2) AS byte, CASE WHEN p <= n - {size - 1} THEN md5(substr(h, 2 * p - 1, {2 * size})) END AS m FROM b),
- r AS (SELECT rid, p, byte, m IS NOT NULL AND count(*) OVER (PARTITION BY m) > 1 AS twice FROM w),
- c AS (SELECT rid, p, byte, max(twice::INT) OVER (PARTITION BY rid ORDER BY p ROWS BETWEEN {size - 1} PRECEDING AND CURRENT ROW) AS gone FROM r),
- s AS (SELECT *, gone = 1 AND coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY p), 0) = 0 AS starts FROM c),
- k AS (SELECT rid, sum(gone)::BIGINT AS n_removed, count(*) FILTER (starts) AS n_spans, coalesce(string_agg(byte, '' ORDER BY p) FILTER (gone = 0), '') AS kept FROM s GROUP BY rid)
- SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN k USING (rid)"""
+ part AS MATERIALIZED (SELECT rid, n, s, substr(h, 2 * s + 1, 2 * {1000 + size}) AS h FROM (SELECT rid, n, h, unnest(range(0, n - {size - 1}, 1000)) AS s FROM d WHERE n >= {size})),
+ w AS MATERIALIZED (SELECT rid, s + p AS p, md5(substr(h, 2 * p - 1, {2 * size})) AS m FROM (SELECT rid, s, h, unnest(range(1, least(1000, n - {size - 1} - s) + 1)) AS p FROM part)),
+ r AS (SELECT rid, p FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)),
+ g AS (SELECT rid, p, p - row_number() OVER (PARTITION BY rid ORDER BY p) AS run FROM r),
+ o AS (SELECT rid, min(p) AS a, max(p) + {size} AS b FROM g GROUP BY rid, run),
+ t AS (SELECT rid, a, b, coalesce(max(b) OVER (PARTITION BY rid ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM o),
+ u AS (SELECT rid, a, b, sum((a > before)::INT) OVER (PARTITION BY rid ORDER BY a ROWS UNBOUNDED PRECEDING) AS span FROM t),
+ s AS (SELECT rid, min(a) AS a, max(b) AS b FROM u GROUP BY rid, span),
+ e AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 1) AS after_last FROM s),
+ k AS (SELECT rid, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * after_last - 1, 2 * (a - after_last)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) - 1) AS kept FROM e JOIN d USING (rid) GROUP BY rid)
+ SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN k USING (rid)"""
 
 
 def adaptive_rules() -> str:
