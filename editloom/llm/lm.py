@@ -57,7 +57,7 @@ SPELL_WEIGHT = 5.0  # of second subwords as such against what follows a certain
 RATE, BATCH, ROUNDS, MOST = 0.04, 256, 1, 2.5
 HOT_WORDS = 500_000  # words whose counts go to every task at most; all others are joined
 END_WORD = b" "  # no word holds a space
-FLUSH = 1_000_000
+FLUSH = 400_000
 CHUNKS = 64  # parts of a table of pairs on its way
 
 
@@ -76,11 +76,21 @@ def subwords(path: str):
     return tiktoken.Encoding("subwords", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
 
 
+def some(words: list[bytes], many: int = 20_000) -> Iterator[list[bytes]]:
+    """Parts of a long list, so that what is made on the way to arrays stays small."""
+    for k in range(0, len(words), many):
+        yield words[k : k + many]
+
+
 def word_ids(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(how many ids each word has, the ids of all)."""
     enc = subwords(path).encode_ordinary
-    ids = [enc(" " + w.decode()) for w in words]
-    return np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(chain.from_iterable(ids), np.int32)
+    size, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+    for part in some(words):
+        ids = [enc(" " + w.decode()) for w in part]
+        size.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+        flat.append(np.fromiter(chain.from_iterable(ids), np.int32))
+    return np.concatenate(size), np.concatenate(flat)
 
 
 GAP = re.compile(rb"[ \t-\r]")
@@ -111,14 +121,11 @@ def pieces(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[list[bytes
         yield held, of
 
 
-class Edges:
-    """The first and last eight bytes of the words of some data, and their sizes: all there is of words of up to 16 bytes."""
-
-    def __init__(self, w: Words):
-        self.size = w.ends - w.starts
-        eight = np.ndarray((len(w.data) + 1,), "<u8", w.data + b"\0" * 8, strides=(1,))
-        self.head = eight[w.starts] & MASK[np.minimum(self.size, 8)]
-        self.tail = eight[np.maximum(w.ends - 8, 0)] * (self.size > 8)
+def edges(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes, first and last eight bytes of the words of some data: all there is of words of up to 16 bytes."""
+    size = w.ends - w.starts
+    eight = np.ndarray((len(w.data) + 1,), "<u8", w.data + b"\0" * 8, strides=(1,))
+    return size, eight[w.starts] & MASK[np.minimum(size, 8)], eight[np.maximum(w.ends - 8, 0)] * (size > 8)
 
 
 class WordTable:
@@ -129,17 +136,19 @@ class WordTable:
         self.ids = word_ids(path, hot)
         stop = np.cumsum(self.ids[0])
         self.first, self.last = self.ids[1][stop - self.ids[0]], self.ids[1][stop - 1]
-        w = Words(hot)
-        self.places, self.edges = HashTable(w.hashes(), np.arange(1, len(hot) + 1)), Edges(w)
+        parts = [(w.hashes(), *edges(w)) for w in map(Words, some(hot))]
+        hashes, *self.edges = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else [np.zeros(0, np.uint64)] * 4
+        self.places = HashTable(hashes, np.arange(1, len(hot) + 1))
 
     def numbers(self, w: Words) -> np.ndarray:
         """Of each word, -1 for one that is not there. Hashes propose, bytes decide."""
         n = self.places.find(w.hashes()).astype(np.int64) - 1
         if not self.words:
             return n
-        e = Edges(w)
-        n[(e.size != self.edges.size[n]) | (e.head != self.edges.head[n]) | (e.tail != self.edges.tail[n])] = -1
-        for i in np.flatnonzero((n >= 0) & (e.size > 16)).tolist():
+        own = edges(w)
+        for x, y in zip(own, self.edges, strict=True):
+            n[(n >= 0) & (x != y[n])] = -1
+        for i in np.flatnonzero((n >= 0) & (own[0] > 16)).tolist():
             if w.data[w.starts[i] : w.ends[i]] != self.words[n[i]]:
                 n[i] = -1
         return n
@@ -400,7 +409,7 @@ class Adam:
 
 def build(first: np.ndarray, kinds: np.ndarray, pairs: np.ndarray, across: np.ndarray, far: np.ndarray) -> Tables:
     """first, kinds: SIZE; pairs: SIZE x (SIZE + 1) of subwords within different words; across, far: SIZE x SIZE."""
-    starts = (first > 0) | (np.arange(SIZE) == END)
+    starts = (first > 0) | (np.arange(SIZE) == END)  # ids that begin a word, and the end
     begin = (first + 0.1) / (first + 0.1).sum()
     begins = across + BEGIN_WEIGHT * begin
     begins = (begins / begins.sum(1, keepdims=True)).astype(np.float32)
@@ -588,15 +597,6 @@ def hot_words(counts: DataFrame, most: int) -> pa.Table:
     return words.filter(class_ > cut).select("word", "n").toArrow()
 
 
-@dataclass
-class Corpus:
-    """What goes to every task beside the tables: hot words and their counts; tail: the mean count of the others."""
-
-    words: list[bytes]
-    n: np.ndarray
-    tail: float
-
-
 def learn(training: DataFrame, shipped, tables, path: str, key: str, rounds: int = ROUNDS, rate: float = RATE) -> Learned:
     """q, k, b, own, gate and pos after training on all windows of all training documents."""
     learned = Learned.start()
