@@ -51,15 +51,11 @@ def write_jsonl(rows: DataFrame, path: str, mode: str = "overwrite", ascii_only:
 
 def escape(line: Column) -> Column:
     r"""Everything beyond ASCII as \uXXXX, in pairs beyond 16 bits."""
-
-    def one(c: Column) -> Column:
-        code = F.ascii(c)
-        hexed = lambda n: F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(n)), 4, "0"))
-        over = code - 0x10000
-        return F.when(code < 128, c).when(code < 0x10000, hexed(code)).otherwise(F.concat(hexed(F.shiftright(over, 10) + 0xD800), hexed(over.bitwiseAND(0x3FF) + 0xDC00)))
-
-    # by code point; most lines have nothing to escape
-    return F.when(line.rlike(r"[^\x00-\x7f]"), F.array_join(F.transform(F.sequence(F.lit(1), F.length(line)), lambda i: one(F.substring(line, i, F.lit(1)))), "")).otherwise(line)
+    beyond, within = r"[^\x00-\x7f]", r"[\x00-\x7f]"
+    # cut where runs within and beyond ASCII meet, so that the work grows as the text; most lines have nothing to escape
+    runs = F.split(line, f"(?<={within})(?={beyond})|(?<={beyond})(?={within})")
+    units = lambda c: F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(.{4})", r"\\u$1")
+    return F.when(line.rlike(beyond), F.array_join(F.transform(runs, lambda c: F.when(F.ascii(c) < 128, c).otherwise(units(c))), "")).otherwise(line)
 
 
 def project(rows: DataFrame, fields: list[str]) -> tuple[DataFrame, list[str]]:

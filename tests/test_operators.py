@@ -4,6 +4,7 @@ import json
 import math
 import random
 import threading
+import time
 import urllib.error
 from concurrent.futures import ThreadPoolExecutor
 from fractions import Fraction
@@ -266,6 +267,14 @@ def test_jsonl_round_trips(spark, tmp_path):
     assert io.split_rejects(rows, F.col("message").isNotNull(), str(tmp_path / "r")).count() == 1 and spark.read.json(str(tmp_path / "r")).count() == 1
 
 
+def test_escaping_grows_as_the_text(spark):
+    texts = ["", "a", "é", "a\x7f\x80", "é😀ÿz", "\U0010ffff😀\uffff", "$1 \\u é\\", "aé日😀" * 100_000]
+    began = time.time()
+    got = [r["e"] for r in spark.createDataFrame([(x,) for x in texts], "x string").select(io.escape(F.col("x")).alias("e")).collect()]
+    assert got == ["".join(c if c.isascii() else json.dumps(c)[1:-1] for c in x) for x in texts]
+    assert time.time() - began < 30  # character by character from the start of the line it is minutes
+
+
 def test_sheets_and_completions(spark, tmp_path):
     df = spark.createDataFrame([("p1", "lazy", 1)], "full_name string, instr_kind string, v int")
     for v in (1, 2):
