@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 #: every character that str.isspace() accepts
 SPACES = "".join(chr(i) for i in range(sys.maxunicode + 1) if chr(i).isspace())
 LINE_END = "\r\n|[\n\r\x0b\f\x1c-\x1e\x85  ]"
+#: every character that ends a line
+LINE_ENDS = "".join(c for c in SPACES if len(f"{c}x".splitlines()) > 1)
 DECORATION = "-`*#\n "
 FENCE = r"(?U)```([^\s`]*)\s*\n([\s\S]*?)```"
 #: section -> spellings of its mark
@@ -27,6 +29,12 @@ def split_lines(c: Column) -> Column:
     return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
 
 
+def count_lines(c: Column) -> Column:
+    """Number of split_lines(c); the text is split once."""
+    last = F.substring(c, -1, 1)  # empty for the empty text, which is found in any string
+    return F.size(F.split(c, LINE_END)) - (F.instr(F.lit(LINE_ENDS), last) > 0).cast("int")
+
+
 def purify(c: Column) -> Column:
     """Strip decoration from both ends of an instruction."""
     return F.btrim(c, F.lit(DECORATION))
@@ -112,7 +120,8 @@ def split_identifier(c: Column) -> Column:
 
 def instruction_words(c: Column) -> Column:
     """Lower-cased words without punctuation."""
-    return F.filter(F.transform(F.split(strip(c), r"(?U)\s+"), lambda w: F.lower(F.regexp_replace(w, r"(?U)[^\w]", ""))), lambda w: w != "")
+    # one pass over the whole text instead of one a word; what strip() takes and \s does not hold is no \w either
+    return F.filter(F.split(F.lower(F.regexp_replace(c, r"(?U)[^\w\s]+", "")), r"(?U)\s+"), lambda w: w != "")
 
 
 def joined_commit(c: Column) -> Column:

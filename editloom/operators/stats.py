@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.diff import diff_stats
-from ..functions.text import split_lines
+from ..functions.text import count_lines
 
 
 def with_diff(rows: DataFrame, old: str, new: str) -> DataFrame:
@@ -18,7 +18,7 @@ def filter_by_diff(rows: DataFrame, old: str = "code_before_purify", new: str =
     """Rows with a change of at most so many lines and hunks. Equal texts, and those whose numbers of lines differ too much,
     cannot pass and never reach Python."""
     a, b = F.coalesce(F.col(old), F.lit("")), F.coalesce(F.col(new), F.lit(""))
-    near = (a != b) & (F.abs(F.size(split_lines(a)) - F.size(split_lines(b))) <= max_lines)
+    near = (a != b) & (F.abs(count_lines(a) - count_lines(b)) <= max_lines)
     if both_sides:
         near = near & (a != "") & (b != "")
     changed = F.col("diff.added") + F.col("diff.removed") + F.col("diff.modified")

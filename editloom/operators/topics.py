@@ -7,8 +7,10 @@ those that lead no document fall away. Its topics are alike in kind, not equal.
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import instruction_words
 from ..functions.tokens import ENGLISH_STOP_WORDS
+from ..sources import scratch
 from .sampling import balanced_sample
 from .stats import filter_by_diff
 
@@ -37,11 +40,17 @@ def fingerprint(docs: DataFrame) -> str:
 
 
 def fit(docs: DataFrame, tokens: str, k: int = 20, seed: int = 42, iterations: int = 10, cache: str | None = None, refit: bool = False) -> PipelineModel:
-    """With a cache folder, a model of the same documents and settings is loaded instead of fitted."""
+    """With a cache folder, a model of the same documents and settings is loaded instead of fitted. Every iteration goes
+    through all word counts, so these are kept on the executors' disks meanwhile."""
     path = os.path.join(cache, f"{fingerprint(docs.select(tokens))}-{k}-{seed}-{iterations}") if cache else None
     if path and not refit and _exists(docs.sparkSession, path):
         return PipelineModel.load(path)
-    model = Pipeline(stages=[CountVectorizer(inputCol=tokens, outputCol="bag_"), LDA(k=k, seed=seed, maxIter=iterations, optimizer="online", featuresCol="bag_", topicDistributionCol="mixture_")]).fit(docs.select(tokens))
+    words = CountVectorizer(inputCol=tokens, outputCol="bag_").fit(docs.select(tokens))
+    bags = words.transform(docs.select(tokens)).select("bag_").persist(StorageLevel.DISK_ONLY)
+    try:
+        model = PipelineModel([words, LDA(k=k, seed=seed, maxIter=iterations, optimizer="online", featuresCol="bag_", topicDistributionCol="mixture_").fit(bags)])
+    finally:
+        bags.unpersist()
     if path:
         model.write().overwrite().save(path)
     return model
@@ -65,8 +74,18 @@ def top_topics(rows: DataFrame, topic: str = "topic", n: int = 20) -> DataFrame:
     return counts(rows, topic).orderBy(F.desc("n"), "topic").limit(n)
 
 
-def diversity_filter(rows: DataFrame, text: Column, row_id: str, seed: int = 42, max_lines: int = 70, max_hunks: int = 7, max_total: int | None = 10_000, max_per_topic: int | None = None, k: int = 20, cache: str | None = None, **columns) -> DataFrame:
-    """Filter by size of change, then sample evenly over topics."""
-    kept = filter_by_diff(rows, max_lines=max_lines, max_hunks=max_hunks, **columns).withColumn("words_", topic_words(text))
-    model = fit(kept, "words_", k, seed, cache=cache)
-    return balanced_sample(assign(kept, model), "topic", row_id, seed, max_total, max_per_topic).drop("words_", "topic")
+def diversity_filter(rows: DataFrame, text: Column, row_id: str, seed: int = 42, max_lines: int = 70, max_hunks: int = 7, max_total: int | None = 10_000, max_per_topic: int | None = None, k: int = 20, cache: str | None = None, carry: Sequence[str] | None = None, **columns) -> DataFrame:
+    """Filter by size of change, then sample evenly over topics. The rows have the columns `carry`, else all.
+
+    Diffs and words are computed once and kept on the executors' disks, in the partitions and the order they have, on which
+    the model's draws depend. Each row's topic is found once and written to the scratch folder with the columns carried.
+    """
+    carried = list(dict.fromkeys((row_id, *(rows.columns if carry is None else carry))))
+    kept = filter_by_diff(rows, max_lines=max_lines, max_hunks=max_hunks, **columns).withColumn("words_", topic_words(text)).select(*carried, "words_").persist(StorageLevel.DISK_ONLY)
+    path = scratch.folder(rows.sparkSession, "topics")
+    try:
+        assign(kept, fit(kept, "words_", k, seed, cache=cache)).drop("words_").write.parquet(path)
+        found = rows.sparkSession.read.schema(kept.drop("words_").withColumn("topic", F.lit(0)).schema).parquet(path)
+    finally:
+        kept.unpersist()
+    return balanced_sample(found, "topic", row_id, seed, max_total, max_per_topic).select(*(rows.columns if carry is None else carry))

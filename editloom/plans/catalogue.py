@@ -464,7 +464,7 @@ SQL["topic_balanced_sample"] = f"""WITH {_sizes}, quotas AS ({sql_water(333)}) S
 @query
 def topic_pipeline(spark, sf_dir):
     rows = docs(spark, sf_dir, code_before_purify="text", code_after_purify=ADDED["new"])
-    return topics.diversity_filter(rows, F.col("text"), "doc_id", SEED, max_total=200, k=5).select("doc_id", "lang")
+    return topics.diversity_filter(rows, F.col("text"), "doc_id", SEED, max_total=200, k=5, carry=("doc_id", "lang"))
 
 
 # tokens

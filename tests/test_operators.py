@@ -345,6 +345,20 @@ def test_topics(spark, tmp_path):
     assert [r[0] for r in v.select(topics.dominant(F.col("v"))).collect()] == [1, -1, -1, -1]
 
 
+def test_topics_compute_words_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    df = spark.createDataFrame([(i, "apple pear fruit tree" if i % 2 else "engine wheel motor road", "a", "a\nb") for i in range(40)], "row_id long, t string, code_before_purify string, code_after_purify string")
+    out = topics.diversity_filter(df, counted("t"), "row_id", max_total=10, k=2)
+    assert out.columns == df.columns and out.count() == 10 and seen.value == 40
+    assert topics.diversity_filter(df, F.col("t"), "row_id", max_total=10, k=2, carry=("t",)).columns == ["t"]
+
+
 def test_statistics(spark):
     df = spark.createDataFrame([(1, 1), (2, 2), (4, 8), (90, 1)], "modified_lines int, hunks int")
     s = stats.summary(df).first()

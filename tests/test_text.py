@@ -37,6 +37,13 @@ def plain_code(x, keep=False):
     return f"## {tag}\n{code}" if keep and tag else code
 
 
+def test_lines_are_counted_and_words_found_in_one_pass(spark):
+    xs = [*randoms(1500, ["a", "B", "Σ", "é", "_", ".", "-", " ", "\n", "\r", "\r\n", "\x1c", "\x1f", "\x85", "\u2028", "\u3000", "\u200d"], 12), ""]
+    assert column(spark, xs, T.count_lines) == [len(x.splitlines()) for x in xs]
+    one = lambda c: F.filter(F.transform(F.split(T.strip(c), r"(?U)\s+"), lambda w: F.lower(F.regexp_replace(w, r"(?U)[^\w]", ""))), lambda w: w != "")
+    assert column(spark, xs, T.instruction_words) == column(spark, xs, one)
+
+
 def test_fenced_code(spark):
     xs = randoms(2000, ["```", "```", "py", "markdown", "\n", "\n", "x", "python", " ", "`"], 14) + ["```\npython_x = 1\ny\n```", "```py\n\n```", "```Markdown\na\n``` ```js\nb```"]
     assert column(spark, xs, T.fenced_code) == [plain_code(x) for x in xs]
