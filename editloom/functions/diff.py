@@ -5,7 +5,7 @@ from __future__ import annotations
 import difflib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,18 +32,24 @@ def stats(old: str, new: str, context: int = 3) -> tuple[int, int, int, int, int
     return count["insert"], count["delete"], count["replace"], hunks, headers
 
 
-@F.pandas_udf(STATS)
-def diff_stats(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    for old, new in pairs:
-        yield pd.DataFrame([stats(a or "", b or "") for a, b in zip(old, new, strict=True)], columns=STATS.names)
+def pairs(old: pa.Array, new: pa.Array) -> Iterator[tuple[str, str]]:
+    """Null as empty. Beside its Arrow batch a worker holds one pair of texts as Python strings, not those of the batch."""
+    for a, b in zip(old, new, strict=True):
+        yield a.as_py() or "", b.as_py() or ""
 
 
-@F.pandas_udf(T.StringType())
-def unified_diff(old: pd.Series, new: pd.Series) -> pd.Series:
-    return pd.Series(["\n".join(difflib.unified_diff((a or "").splitlines(), (b or "").splitlines(), lineterm="")) for a, b in zip(old, new, strict=True)])
+@F.arrow_udf(STATS)
+def diff_stats(old: pa.Array, new: pa.Array) -> pa.Array:
+    rows = [stats(a, b) for a, b in pairs(old, new)]
+    return pa.StructArray.from_arrays([pa.array([r[k] for r in rows], pa.int32()) for k in range(len(STATS))], STATS.names)
 
 
-@F.pandas_udf(T.LongType())
-def differ_lines(old: pd.Series, new: pd.Series) -> pd.Series:
+@F.arrow_udf(T.StringType())
+def unified_diff(old: pa.Array, new: pa.Array) -> pa.Array:
+    return pa.array(["\n".join(difflib.unified_diff(a.splitlines(), b.splitlines(), lineterm="")) for a, b in pairs(old, new)], pa.string())
+
+
+@F.arrow_udf(T.LongType())
+def differ_lines(old: pa.Array, new: pa.Array) -> pa.Array:
     """Lines of the full comparison, common and hint lines included."""
-    return pd.Series([sum(1 for _ in difflib.Differ().compare((a or "").splitlines(), (b or "").splitlines())) for a, b in zip(old, new, strict=True)])
+    return pa.array([sum(1 for _ in difflib.Differ().compare(a.splitlines(), b.splitlines())) for a, b in pairs(old, new)], pa.int64())

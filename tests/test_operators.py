@@ -5,11 +5,13 @@ import math
 import random
 import threading
 import time
+import tracemalloc
 import urllib.error
 from concurrent.futures import ThreadPoolExecutor
 from fractions import Fraction
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,6 +32,20 @@ def test_diff_stats():
     assert diff.stats("", "a\nb") == (2, 0, 0, 1, 1) and diff.stats("a\nb", "")[1] == 2
 
 
+def test_diffs_hold_one_pair_of_texts(spark):
+    texts = [f"{i}\n" + "x" * 10_000 for i in range(1000)] + [None]
+    old, new = pa.array(texts), pa.array(texts[1:] + texts[:1])
+    tracemalloc.start()
+    got = diff.diff_stats.func(old, new).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [tuple(r.values()) for r in got] == [diff.stats(a or "", b or "") for a, b in zip(old.to_pylist(), new.to_pylist(), strict=True)]
+    assert peak < 2_000_000 < old.nbytes / 4
+    df = spark.createDataFrame([("a\nb", "a\nc\nd"), (None, "x"), ("x", None)], "a string, b string")
+    row = df.select(diff.diff_stats("a", "b").alias("s"), diff.differ_lines("a", "b").alias("n"), diff.unified_diff("a", "b").alias("u")).collect()
+    assert [(tuple(r["s"]), r["n"]) for r in row] == [((0, 0, 2, 1, 1), 4), ((1, 0, 0, 1, 1), 1), ((0, 1, 0, 1, 1), 1)] and row[1]["u"].endswith("+x")
+
+
 def test_filter_by_diff_equals_the_plain_filter(spark):
     rng = random.Random(3)
     rows = []
