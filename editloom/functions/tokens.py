@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,9 +39,15 @@ def words_of(code: str) -> list[str]:
     return out
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows over all cores: lexing takes far longer than reading, and a file of a million short rows is one task."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def code_tokens(code: pd.Series) -> pd.Series:
-    return code.map(lambda x: words_of(x or ""))
+    code = code.fillna("")
+    return code.map({x: words_of(x) for x in code.unique()})  # equal codes of a batch are lexed once
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

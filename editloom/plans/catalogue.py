@@ -472,7 +472,7 @@ def topic_pipeline(spark, sf_dir):
 
 @query
 def tokenize_code(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
+    part = tokens.spread(table(spark, sf_dir, "part").select("p_partkey", "p_name"))
     code = F.concat(F.lit("class MyType:\n    def getName_of(self, aB):\n        return aB + "), F.regexp_replace("p_name", "[^A-Za-z]+", "_"), F.lit("\n"))
     return part.select("p_partkey", F.array_join(tokens.identifiers(tokens.code_tokens(code)), " ").alias("tokens"))
 

@@ -11,12 +11,13 @@ from concurrent.futures import ThreadPoolExecutor
 from fractions import Fraction
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from editloom import schemas
-from editloom.functions import diff
+from editloom.functions import diff, tokens
 from editloom.operators import evalmetrics, generate, mix, prompts, sampling, stats, topics
 from editloom.sources import io
 from editloom.streaming import resume
@@ -64,6 +65,16 @@ def test_filter_by_diff_equals_the_plain_filter(spark):
     assert text == "\n".join(difflib.unified_diff(rows[0][1].splitlines(), (rows[0][2] or "").splitlines(), lineterm=""))
 
 
+def test_code_is_lexed_on_all_cores_and_once_a_batch(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, f"a{i % 3}_bC = 1") for i in range(300)], "i int, x string").coalesce(1)
+    there = tokens.spread(rows).select("i", tokens.code_tokens("x").alias("t"), F.spark_partition_id().alias("p")).collect()
+    assert sorted((r["i"], r["t"]) for r in there) == [(i, tokens.words_of(f"a{i % 3}_bC = 1")) for i in range(300)]
+    assert len({r["p"] for r in there}) >= spark.sparkContext.defaultParallelism
+    seen = []
+    monkeypatch.setattr(tokens, "words_of", lambda x: seen.append(x) or [x])
+    assert tokens.code_tokens.func(pd.Series(["a", None, "a", "", "b"])).tolist() == [["a"], [""], ["a"], [""], ["b"]] and sorted(seen) == ["", "a", "b"]
+
+
 def rounds(sizes, most):
     """Quotas by locking topics round by round; sizes in order of appearance."""
     quota, open_, left = {}, dict(sizes), most
